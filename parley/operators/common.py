@@ -39,7 +39,8 @@ def top_n_per_group(df: DataFrame, keys: Sequence, order: Sequence, n: int,
 
 
 def global_index(df: DataFrame, order: Sequence, name: str = "idx", start: int = 0,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, running_sum: str | None = None,
+                 running_name: str = "running", total_name: str | None = None) -> DataFrame:
     """Add the 0-based (plus ``start``) position of every row in ``order``.
 
     Range-partition by the order, sort within partitions, number rows inside
@@ -53,11 +54,24 @@ def global_index(df: DataFrame, order: Sequence, name: str = "idx", start: int =
     s = s.withColumn("__pid", F.shiftright("__mid", 33))
     s = s.withColumn("__loc", F.col("__mid") - F.shiftleft(F.col("__pid"), 33)).drop("__mid")
     s = s.checkpoint(eager=True)
-    counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    if running_sum:
+        aggs.append(F.sum(running_sum).alias("__s"))
+    counts = s.groupBy("__pid").agg(*aggs)
     before = W.orderBy("__pid").rowsBetween(W.unboundedPreceding, -1)
-    offs = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    offs = [F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")]
+    if running_sum:
+        offs.append(F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__soff"))
+        offs.append(F.sum("__s").over(W.partitionBy()).alias(total_name or "__stot"))
+    offs = counts.select("__pid", *offs)  # one row per partition
     out = s.join(F.broadcast(offs), "__pid").withColumn(
         name, F.col("__off") + F.col("__loc") + F.lit(start))
+    if running_sum:
+        # rows of one partition are one group of the range partitioning: bounded size
+        local = W.partitionBy("__pid").orderBy("__loc").rowsBetween(W.unboundedPreceding, 0)
+        out = out.withColumn(running_name, F.col("__soff") + F.sum(running_sum).over(local)).drop("__soff")
+        if not total_name:
+            out = out.drop("__stot")
     return out.drop("__pid", "__loc", "__off")
 
 
