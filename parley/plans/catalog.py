@@ -40,5 +40,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> dict:
     # importing the query modules fills REGISTRY
-    from parley.plans import queries_corpus, queries_vocab  # noqa: F401
+    from parley.plans import queries_corpus, queries_scores, queries_vocab  # noqa: F401
     return REGISTRY
