@@ -107,9 +107,14 @@ def with_views(names: list[str], body: str) -> str:
         visit(n)
     if not order:
         return body
-    ctes = ",\n".join(f"{n} AS ({VIEWS[n][1]}\n)" for n in order)
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in MATERIALIZED else ''}({VIEWS[n][1]}\n)" for n in order)
     return f"WITH {ctes}\n{body}"
 
 
-def add_view(name: str, deps: list[str], sql: str) -> None:
+MATERIALIZED: set[str] = set()
+
+
+def add_view(name: str, deps: list[str], sql: str, materialized: bool = False) -> None:
     VIEWS[name] = (deps, sql)
+    if materialized:
+        MATERIALIZED.add(name)
