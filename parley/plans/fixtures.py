@@ -20,8 +20,15 @@ INJECTED_WS = "\t\u3000\u00a0 "
 LINE_BASE = 1_000_000
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition only when a scan yields fewer partitions than the
+    cluster's parallelism (a single-row-group file); large inputs are left as scanned."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def pseudo_zh(en: Column) -> Column:
