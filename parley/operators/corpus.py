@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.text import norm_ws
-from parley.operators.common import top_n_per_group
+from parley.operators.common import broadcast_if_small, top_n_per_group
 
 PAIR_COLS = ("src", "tgt", "direction")
 
@@ -84,7 +84,8 @@ def split_pairs(directed: DataFrame, test_size: int = 2000, seed: int = 42):
     are broadcast because their count is bounded by ``test_size``.
     Returns (train_pairs, test_pairs, n_test).
     """
-    uniq = unique_pairs(directed)
+    # materialized once in the shared checkpoint folder: count, top-k and anti join all read it
+    uniq = unique_pairs(directed).checkpoint(eager=True)
     n_unique = uniq.count()
     n_test = min(int(test_size), n_unique // 5)
     test = uniq.orderBy(*split_order(seed)).limit(n_test).select("zh", "en")
@@ -118,6 +119,18 @@ def split_report(labeled: DataFrame) -> DataFrame:
                        F.count_if(F.col("split") == "test").alias("test"))
 
 
+# ---------------------------------------------------------------- SK5 / SK6
+def head_rows(df: DataFrame, order_by: Sequence, n: int | None) -> DataFrame:
+    """SK5: the first ``n`` rows by an explicit order (TakeOrdered: at most n rows per task);
+    ``None`` or 0 keeps all rows."""
+    return df.orderBy(*order_by).limit(n) if n else df
+
+
+def sorted_by(df: DataFrame, col: str = "direction") -> DataFrame:
+    """SK6: listing sorted by ``col`` at the sink."""
+    return df.orderBy(col)
+
+
 # ---------------------------------------------------------------- W1 / W2 / AG18
 def quota_targets(total: int, spoken_ratio: float = 0.7) -> dict[str, int]:
     """spoken = int(total * ratio), general = total - spoken."""
@@ -132,7 +145,7 @@ def apply_quota(accepted: DataFrame, sources: DataFrame, targets: dict[str, int]
     Filters are applied before this call (quotas count accepted rows only).
     One literal-limit window per distinct want keeps WindowGroupLimit in the plan.
     """
-    tagged = accepted.join(F.broadcast(sources.select("source", "kind")), "source")
+    tagged = accepted.join(broadcast_if_small(sources.select("source", "kind"), 100_000), "source")
     parts = []
     for want in sorted({w for w in targets.values() if w > 0}):
         kinds = [k for k, w in targets.items() if w == want]

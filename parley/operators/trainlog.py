@@ -40,7 +40,8 @@ def moving_mean(steps: DataFrame, window: int = 50, run: str = "run", step: str
     dec = f"decimal(38,{scale})"
     s = steps.withColumn("_l", F.col(loss).cast(dec))
     g = global_index(s, [run, step], name="_gi", running_sum="_l", running_name="_cum")
-    base = g.groupBy(run).agg(F.min(F.col("_cum") - F.col("_l")).alias("_b"))  # one row per run
+    # offset of a run = prefix sum before its first row (losses may be negative: not a min over the run)
+    base = g.groupBy(run).agg(F.min_by(F.col("_cum") - F.col("_l"), F.col("_gi")).alias("_b"))  # one row per run
     cs = g.join(F.broadcast(base), run).select(run, step, loss, (F.col("_cum") - F.col("_b")).cast(dec).alias("_cs"))
     prev = cs.select(run, (F.col(step) + window).alias(step), F.col("_cs").alias("_prev"))
     j = cs.join(prev, [run, step], "left")

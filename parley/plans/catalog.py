@@ -45,6 +45,6 @@ def register(name: str, sql: str | None = None, slow: bool = False):
 
 def load_all() -> dict:
     # importing the query modules fills REGISTRY
-    from parley.plans import (queries_corpus, queries_latency, queries_metrics,  # noqa: F401
+    from parley.plans import (queries_corpus, queries_io, queries_latency, queries_metrics,  # noqa: F401
                               queries_scores, queries_streaming, queries_vocab)
     return REGISTRY

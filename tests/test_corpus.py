@@ -23,9 +23,10 @@ def test_filter_pairs_drops_empty_and_ratio_outliers(spark):
 
 
 def test_keep_bounds_are_inclusive(spark):
-    df = pairs(spark, [("ab", "abcdefgh"), ("ab", "abcdefghi"), ("a" * 5, "b" * 5), ("a" * 6, "b")])
-    got = [r.k for r in df.select(C.keep_predicate("src", "tgt", 1, 5, 4.0).alias("k")).collect()]
-    assert got == [True, False, True, False]
+    df = pairs(spark, [("ab", "abcdefgh"), ("ab", "abcdefghi"), ("a", "bcde"), ("a", "bcdef"), ("", "")])
+    got = [r.k for r in df.select(C.keep_predicate("src", "tgt", 1, 8, 4.0).alias("k")).collect()]
+    # length 8 and ratio 4.0 are kept; length 9 or ratio 5.0 or empty are not
+    assert got == [True, False, True, False, False]
 
 
 def test_fan_out_and_pair_key(spark):

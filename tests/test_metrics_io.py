@@ -131,7 +131,8 @@ def test_pairs_jsonl_roundtrip_and_failfast(spark, tmp_out):
         f.write('{"src": "a", "tgt": "b"\n')
     with pytest.raises(Exception):
         IO.read_pairs(spark, bad).collect()
-    assert IO.read_pairs(spark, bad, mode="PERMISSIVE").filter("_corrupt_record IS NOT NULL").count() == 1
+    rows = IO.read_pairs(spark, bad, mode="PERMISSIVE").collect()
+    assert [r._corrupt_record is not None for r in rows] == [True]
 
 
 def test_vocab_map_json_roundtrip(spark, tmp_out):
@@ -160,4 +161,5 @@ def test_segments_text_io(spark, tmp_out):
     assert [r.segment for r in IO.read_segments(spark, p).collect()] == ["first line", "second"]
     seg = spark.createDataFrame([("en", "a b"), ("fr", "c")], "lang string, segment string")
     IO.write_segments(seg, tmp_out + "/out")
-    assert sorted(os.listdir(tmp_out + "/out"))[:2] == ["_SUCCESS", "lang=en"]
+    listing = os.listdir(tmp_out + "/out")
+    assert "lang=en" in listing and "lang=fr" in listing
