@@ -113,7 +113,7 @@ O.add_view("st6_tok", ["lens"], f"""
 @register("st6_latency_quality", O.with_views(["delays", "st6_tok"], f"""
     SELECT a.k, round(a.mean_al, 6) AS mean_al, round(b.bleu, 6) AS bleu
     FROM (SELECT k, avg({AL_SQL}) AS mean_al FROM delays GROUP BY k) a
-    JOIN ({sql_bleu(sql_match_stats('st6_tok', 'ex_id', ['k'], 'ht', 'rt', 4), ['k'])}) b USING (k)"""), slow=True)
+    JOIN ({sql_bleu(sql_match_stats('st6_tok', 'ex_id', ['k'], 'ht', 'rt', 4), ['k'])}) b USING (k)"""))
 def st6_latency_quality(spark, d):
     x = delays(spark, d)
     al = x.groupBy("k").agg(F.avg(L.average_lagging("g", "src_len", "tgt_len")).alias("mean_al"))

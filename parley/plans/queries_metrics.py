@@ -62,17 +62,26 @@ def _grams(x: str) -> str:
 
 
 def sql_match_stats(rel: str, key: str, groups: list[str], h: str, r: str, orders: int) -> str:
+    """Per (groups, n): clipped matches and n-gram counts. Tokens are unnested with their
+    position and n-grams built with ``lead`` windows per (row, side)."""
     g = ", ".join(groups)
     gp = (g + ", ") if groups else ""
+    leads = ", ".join(
+        ("tok AS g1" if n == 1 else
+         "(" + " || chr(1) || ".join(["tok"] + [f"lead(tok, {k}) OVER w" for k in range(1, n)]) + f") AS g{n}")
+        for n in range(1, orders + 1))
+    unp = " UNION ALL ".join(f"SELECT {key}, {gp}side, {n} AS n, g{n} AS g FROM grams WHERE g{n} IS NOT NULL"
+                             for n in range(1, orders + 1))
     return f"""
-        SELECT {gp}n, CAST(sum(least(h, r)) AS BIGINT) AS matches, CAST(sum(h) AS BIGINT) AS hyp_grams,
-               CAST(sum(r) AS BIGINT) AS ref_grams FROM (
-            SELECT {key}, {gp}n, g, sum(h) AS h, sum(r) AS r FROM (
-                SELECT {key}, {gp}n, unnest({_grams(h)}) AS g, 1 AS h, 0 AS r FROM {rel}, range(1, {orders + 1}) t(n)
-                UNION ALL
-                SELECT {key}, {gp}n, unnest({_grams(r)}) AS g, 0 AS h, 1 AS r FROM {rel}, range(1, {orders + 1}) t(n))
-            GROUP BY {key}, {gp}n, g)
-        GROUP BY {gp}n"""
+      (WITH toks AS (
+           SELECT {key}, {gp}'h' AS side, u.v AS tok, u.o AS pos FROM {rel}, unnest({h}) WITH ORDINALITY AS u(v, o)
+           UNION ALL
+           SELECT {key}, {gp}'r' AS side, u.v AS tok, u.o AS pos FROM {rel}, unnest({r}) WITH ORDINALITY AS u(v, o)),
+       grams AS (SELECT {key}, {gp}side, {leads} FROM toks WINDOW w AS (PARTITION BY {key}, {gp}side ORDER BY pos)),
+       counted AS (SELECT {key}, {gp}n, g, count_if(side = 'h') AS h, count_if(side = 'r') AS r FROM ({unp})
+                   GROUP BY {key}, {gp}n, g)
+       SELECT {gp}n, CAST(sum(least(h, r)) AS BIGINT) AS matches, CAST(sum(h) AS BIGINT) AS hyp_grams,
+              CAST(sum(r) AS BIGINT) AS ref_grams FROM counted GROUP BY {gp}n)"""
 
 
 def _pivot(stats: str, groups: list[str], orders: int) -> str:
@@ -190,7 +199,7 @@ def u6_bleu_tokens(spark, d):
 # ------------------------------------------------------------------ AG9
 @register("ag9_corpus_bleu", O.with_views(["hr_tok"], f"""
     SELECT direction, round(bleu, 6) AS bleu FROM ({sql_bleu(sql_match_stats('hr_tok', 'ex_id', ['direction'],
-                                                                              'ht', 'rt', 4), ['direction'])})"""), slow=True)
+                                                                              'ht', 'rt', 4), ['direction'])})"""))
 def ag9_corpus_bleu(spark, d):
     r = hyp_ref(spark, d)
     r = r.select("ex_id", "direction", M.bleu_tokens(F.col("hyp"), F.col("direction")).alias("ht"),
@@ -201,7 +210,7 @@ def ag9_corpus_bleu(spark, d):
 @register("ag9_bleu_whitespace_pooled", O.with_views(["hyp_ref"], f"""
     SELECT round(bleu, 6) AS bleu FROM ({sql_bleu(sql_match_stats(
         f"(SELECT ex_id, direction, {O.word_list('hyp')} AS wh, {O.word_list('ref')} AS wr FROM hyp_ref)",
-        'ex_id, direction', [], 'wh', 'wr', 4), [])})"""), slow=True)
+        'ex_id, direction', [], 'wh', 'wr', 4), [])})"""))
 def ag9_bleu_whitespace_pooled(spark, d):
     from parley.functions.text import words
     r = hyp_ref(spark, d).select(F.concat_ws(":", "ex_id", "direction").alias("k"),
@@ -215,7 +224,7 @@ def ag9_bleu_whitespace_pooled(spark, d):
                                                                                'hc', 'rc', 6), ['direction'])})
     UNION ALL
     SELECT NULL AS direction, round(chrf, 6) AS chrf FROM ({sql_chrf(sql_match_stats(
-        '(SELECT ex_id || direction AS k, hc, rc FROM hr_tok)', 'k', [], 'hc', 'rc', 6), [])})"""), slow=True)
+        '(SELECT ex_id || direction AS k, hc, rc FROM hr_tok)', 'k', [], 'hc', 'rc', 6), [])})"""))
 def ag10_corpus_chrf(spark, d):
     return M.corpus_chrf(hyp_ref(spark, d), "ex_id", "hyp", "ref", ["direction"], with_total=True)
 
@@ -233,12 +242,12 @@ AG11_SQL = O.with_views(["hyp_ref", "hr_tok"], f"""
         '(SELECT ex_id || direction AS k, hc, rc FROM hr_tok)', 'k', [], 'hc', 'rc', 6), [])})""")
 
 
-@register("ag11_eval_summary", AG11_SQL, slow=True)
+@register("ag11_eval_summary", AG11_SQL)
 def ag11_eval_summary(spark, d):
     return M.eval_summary(hyp_ref(spark, d))
 
 
-@register("ag12_rescore_stored", AG11_SQL, slow=True)
+@register("ag12_rescore_stored", AG11_SQL)
 def ag12_rescore_stored(spark, d):
     """IO12 writes records + summary row; IO13 reads them back skipping the summary; AG12 rescores."""
     path = scratch_path(spark, "eval")
@@ -271,7 +280,7 @@ def _scores_sql(rel: str, name: str) -> str:
 
 @register("ev2_checkpoint_curve", O.with_views(["ck_tok"], f"""
     SELECT direction, arg_max(checkpoint, (bleu, -checkpoint)) AS best_checkpoint, round(max(bleu), 6) AS best_bleu
-    FROM ({_scores_sql('ck_tok', 'checkpoint')}) GROUP BY direction"""), slow=True)
+    FROM ({_scores_sql('ck_tok', 'checkpoint')}) GROUP BY direction"""))
 def ev2_checkpoint_curve(spark, d):
     s = scores_by(variants(spark, d, "checkpoint", CHECKPOINTS), ["checkpoint", "direction"])
     return M.checkpoint_curve(s)
@@ -279,7 +288,7 @@ def ev2_checkpoint_curve(spark, d):
 
 @register("ev2_checkpoint_scores", O.with_views(["ck_tok"], f"""
     SELECT checkpoint, direction, round(bleu, 6) AS bleu, round(chrf, 6) AS chrf
-    FROM ({_scores_sql('ck_tok', 'checkpoint')})"""), slow=True)
+    FROM ({_scores_sql('ck_tok', 'checkpoint')})"""))
 def ev2_checkpoint_scores(spark, d):
     return scores_by(variants(spark, d, "checkpoint", CHECKPOINTS), ["checkpoint", "direction"])
 
@@ -290,7 +299,7 @@ def ev2_checkpoint_scores(spark, d):
            round(s.bleu - b.bleu, 6) AS delta_bleu, round(s.chrf - b.chrf, 6) AS delta_chrf
     FROM ({_scores_sql('sys_tok', 'system')}) s
     LEFT JOIN (SELECT direction, bleu, chrf FROM ({_scores_sql('sys_tok', 'system')}) WHERE system = '{BASELINE}') b
-      USING (direction)"""), slow=True)
+      USING (direction)"""))
 def ev4_system_compare(spark, d):
     s = scores_by(variants(spark, d, "system", SYSTEMS), ["system", "direction"])
     return M.compare_systems(s, BASELINE)

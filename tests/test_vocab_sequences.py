@@ -188,3 +188,17 @@ def test_decode_with_pieces(spark):
     ids = spark.createDataFrame([(1, [ord("中"), ord("a")]), (2, [])], "ex_id long, ids array<int>")
     got = {r.ex_id: r.text for r in decode_ids(ids, "ids", pieces).collect()}
     assert got == {1: "中a", 2: ""}
+
+
+def test_file_tokenizer_in_arrow_batches(spark, tmp_out):
+    from tokenizers import Tokenizer as HF, models, pre_tokenizers
+    from parley.functions.tokenize import file_tokenizer
+    t = HF(models.WordLevel({"[UNK]": 0, "hello": 1, "world": 2}, unk_token="[UNK]"))
+    t.pre_tokenizer = pre_tokenizers.Whitespace()
+    path = tmp_out + "/tok.json"
+    t.save(path)
+    tok = file_tokenizer(path)
+    df = spark.createDataFrame([("hello world",), ("hello there",), ("",)], "text string")
+    assert [r.ids for r in df.select(tok.encode(F.col("text")).alias("ids")).collect()] == [[1, 2], [1, 0], []]
+    freq = {r.token_id: r.freq for r in V.token_freq(df, tok).collect()}
+    assert freq == {1: 2, 2: 1, 0: 1}
