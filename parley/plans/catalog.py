@@ -30,15 +30,34 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def _bigint_counts(sql: str) -> str:
+    """DuckDB's count_if returns HUGEINT; Spark's returns BIGINT. Wrap each call in a cast."""
+    out, i, tok = [], 0, "count_if("
+    while True:
+        j = sql.find(tok, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(tok) - 1
+        while True:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k + 1] + " AS BIGINT)")
+        i = k + 1
+
+
 def register(name: str, sql: str | None = None, slow: bool = False):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return rounded(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
-        if slow and sql:
-            SLOW_SQL[name] = sql
-        REGISTRY[name] = (run, None if slow else sql)
+        oracle = _bigint_counts(sql) if sql else None
+        if slow and oracle:
+            SLOW_SQL[name] = oracle
+        REGISTRY[name] = (run, None if slow else oracle)
         return fn
     return deco
 

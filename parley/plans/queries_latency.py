@@ -219,7 +219,7 @@ def sq14_embedding_rows(spark, d):
 
 @register("sq15_slice_rows_columns", O.with_views(["kept_neurons", "vec_imp"], """
     SELECT e.vec_id AS row_id, round(list_sum(list_transform(idx.ix, lambda i: CAST(e.embedding[i + 1] AS DOUBLE))), 6)
-           AS sliced_sum, len(idx.ix) AS width
+           AS sliced_sum, CAST(len(idx.ix) AS INTEGER) AS width
     FROM embeddings e JOIN kept_neurons k ON k.row_id = e.vec_id,
          (SELECT list(pos ORDER BY pos) AS ix FROM (SELECT pos FROM (
              SELECT pos, row_number() OVER (ORDER BY importance DESC, pos) AS rn FROM vec_imp) WHERE rn <= 48)) idx"""))

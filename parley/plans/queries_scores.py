@@ -212,7 +212,7 @@ def j6_shift_previous(spark, d):
 
 # ------------------------------------------------------------------ J5 + J6 (array form) + SQ11
 @register("j5_aligned_teacher", O.with_views(["old_examples"], """
-    SELECT row_id, len(tp) AS n_target, array_to_string(list_transform(tp, lambda p: input_ids[p]), ' ') AS prev_ids
+    SELECT row_id, CAST(len(tp) AS INTEGER) AS n_target, array_to_string(list_transform(tp, lambda p: input_ids[p]), ' ') AS prev_ids
     FROM (SELECT row_id, input_ids, list_filter(range(1, len(labels)), lambda p: labels[p + 1] <> -100) AS tp
           FROM old_examples)"""))
 def j5_aligned_teacher(spark, d):
