@@ -29,7 +29,10 @@ def top_n_per_group(df: DataFrame, keys: Sequence, order: Sequence, n: int,
     """
     keys_c, order_c = _cols(keys), _cols(order)
     if salt_buckets and salt_buckets > 1:
-        salt = F.pmod(F.xxhash64(*order_c), F.lit(salt_buckets))
+        # salt from the row content (deterministic on re-execution); sort orders cannot be hashed
+        from pyspark.sql.types import MapType
+        hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+        salt = F.pmod(F.xxhash64(*hashable), F.lit(salt_buckets))
         w1 = W.partitionBy(*keys_c, salt).orderBy(*order_c)
         df = df.withColumn("__rn1", F.row_number().over(w1)).filter(F.col("__rn1") <= n).drop("__rn1")
     w = W.partitionBy(*keys_c).orderBy(*order_c)
