@@ -23,9 +23,11 @@ LINE_BASE = 1_000_000
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin repartition only when a scan yields fewer partitions than the
     cluster's parallelism (a single-row-group file); large inputs are left as scanned."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    # several tasks per core: rows (documents) differ in size by orders of magnitude
-    return df.repartition(4 * cores) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    # tasks per core (rows differ in size by orders of magnitude); setting spark.parley.spreadFactor
+    factor = int(spark.conf.get("spark.parley.spreadFactor", "2"))
+    return df.repartition(factor * cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
