@@ -47,7 +47,7 @@ def select_keep(freq: DataFrame, special: DataFrame, max_vocab: int,
         keep0 = keep0.unionByName(force.select("token_id", F.lit(1).alias("_r")))
     keep0 = keep0.groupBy("token_id").agg(F.min("_r").alias("_r")).select(
         "token_id", F.when(F.col("_r") == 0, "special").otherwise("force").alias("reason"))  # SO1
-    keep0 = keep0.cache()
+    keep0 = keep0.checkpoint(eager=True)   # vocabulary-sized; counted and reused below
     remaining = max_vocab - keep0.count()
     if remaining <= 0:
         return keep0
