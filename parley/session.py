@@ -37,9 +37,30 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``parley`` importable in Python workers (pandas UDFs, mapInPandas, state functions):
+    zip the package once per SparkContext and distribute it with ``addPyFile``."""
+    sc = spark.sparkContext
+    if getattr(sc, "_parley_shipped", False):
+        return
+    import zipfile
+    import parley
+    root = os.path.dirname(os.path.dirname(os.path.abspath(parley.__file__)))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="parley-pyfiles-"), "parley.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for dirpath, _, files in os.walk(os.path.join(root, "parley")):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    sc._parley_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the session, if any."""
     d = spark.sparkContext.getCheckpointDir()

@@ -19,6 +19,8 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="parley-test-ckpt-"))
+    from parley.session import ship_package
+    ship_package(s)
     yield s
     s.stop()
 
