@@ -131,11 +131,15 @@ def _cut(with_text: bool):
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = K) -> DataFrame:
     """(key_id, key_text, lo, hi): stretches of words, end exclusive, covered by windows that also start in a smaller document."""
-    return _spans(C.keyed(docs, id_col, text_col).drop("doc_id"), window, k)
+    return _spans(_by_document(docs, id_col, text_col), C.keyed(docs, id_col, text_col).drop("doc_id"), window, k)
 
 
-def _spans(d: DataFrame, window: int, k: int) -> DataFrame:
-    by_doc = d.repartition(C.partitions(d.sparkSession), *C.KEYS)
+def _by_document(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(key_id, key_text, text) by key: one plan for every use, so that its shuffle of the texts is written once and reused."""
+    return C.keyed(docs, id_col, text_col).drop("doc_id").repartition(C.partitions(docs.sparkSession), *C.KEYS)
+
+
+def _spans(by_doc: DataFrame, d: DataFrame, window: int, k: int) -> DataFrame:
     edges = d.mapInArrow(_edges(window, k), "edge long not null, path long not null, key_id long not null, key_text long not null, lo int, hi int")
     repeated = (edges.groupBy("edge").agg(F.min("key_id").alias("a"), F.max("key_id").alias("b"), F.min("path").alias("p"), F.max("path").alias("q"))
                 .filter("a < b").select("edge", F.col("a").alias("owner"), (F.col("p") != F.col("q")).alias("branches")))
@@ -150,7 +154,6 @@ def _spans(d: DataFrame, window: int, k: int) -> DataFrame:
              .agg(F.collect_list(F.struct("edge", "lo", "hi")).alias("asked")))
     windows = (by_doc.join(asked, C.KEYS).select(*C.KEYS, "text", "asked").mapInArrow(
         _branch_windows(window), "edge long, hash long, key_id long not null, key_text long not null, lo int"))
-    windows = windows.checkpoint()
     owners = windows.groupBy("edge", "hash").agg(F.min("key_id").alias("a"), F.max("key_id").alias("b")).filter("a < b")
     single = (windows.join(owners, ["edge", "hash"]).filter("key_id > a")
               .select(*C.KEYS, "lo", (F.col("lo") + window).alias("hi")))
@@ -160,8 +163,7 @@ def _spans(d: DataFrame, window: int, k: int) -> DataFrame:
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = K,
                     with_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and, with ``with_text``, kept_text for each row of ``docs``."""
-    d = C.keyed(docs, id_col, text_col)
-    by_doc = d.repartition(C.partitions(d.sparkSession), *C.KEYS)
-    spans = _spans(d.drop("doc_id"), window, k).groupBy(*C.KEYS).agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    cut = by_doc.join(spans, C.KEYS, "left").select("doc_id", _cut(with_text)("text", "spans").alias("r"))
+    by_doc = _by_document(docs, id_col, text_col)
+    spans = _spans(by_doc, C.keyed(docs, id_col, text_col).drop("doc_id"), window, k).groupBy(*C.KEYS).agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    cut = by_doc.join(spans, C.KEYS, "left").select(F.nullif("key_id", F.lit(C.NULL_ID)).alias("doc_id"), _cut(with_text)("text", "spans").alias("r"))
     return cut.select("doc_id", "r.*")
