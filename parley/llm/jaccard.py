@@ -32,7 +32,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
 ROWS = 5
-BLOCK_ROWS = 128
+BLOCK_ROWS = 512
 BLOCK_BYTES = 4 << 20
 MAX_ROUNDS = 60
 
