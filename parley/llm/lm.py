@@ -84,8 +84,8 @@ def _counts(codes_of):
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """log of the gamma function for x > 0, by Stirling's series after a shift."""
-    shift = np.zeros_like(x)
-    y = x.copy()
+    shift = np.zeros(len(x))
+    y = x.astype(np.float64)
     for _ in range(8):
         low = y < 8
         shift[low] += np.log(y[low])

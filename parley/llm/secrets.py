@@ -6,7 +6,7 @@ Everything on the main path is a DataFrame expression.
   points, end exclusive. Positions come from the pieces between matches (``split`` and ``regexp_extract_all`` by one pattern).
 * Models. Labelled samples are (text, random) rows. Two first-order character models over ASCII are counted in Spark:
   random strings (uniform prior) and ordinary identifiers (flat prior). ``fit`` collects at most 128 x 128 counts of each.
-* Kind ``markov``: each run of 20 or more token characters holding a letter and a digit whose summed log-likelihood ratio is at
+* Kind ``markov``: each run of 20 or more token characters with letters and digits, or capitals inside, whose summed log-likelihood ratio is at
   least ``THRESHOLD`` nats is a secret. These spans are added; base spans stay, and the two may overlap.
 
 ``corpus_samples`` labels every document's own strings: values of base spans as random, the first long word of each document
@@ -31,7 +31,7 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}+"
 IDENTIFIER = r"[A-Za-z_]{10,}+"
 KINDS = ["assign", "access", "hex", "markov"]
 RANDOM_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
-THRESHOLD = 10.0
+THRESHOLD = 6.9  # odds of about 1000 : 1
 SIZE = 128
 BLOCK = 256
 NO_SPANS = "array<struct<start:int,kind_no:int,end:int,match:string>>"
@@ -110,7 +110,7 @@ def log_ratio(token: Column, model: list[float]) -> Column:
 
 def all_spans(text: Column, model: list[float]) -> Column:
     """Base and model spans by start, then kind in the order of KINDS."""
-    added = F.filter(regex_spans(text, CANDIDATE, 3), lambda s: s["match"].rlike("[A-Za-z]") & s["match"].rlike("[0-9]")
+    added = F.filter(regex_spans(text, CANDIDATE, 3), lambda s: s["match"].rlike("[A-Za-z].*[0-9]|[0-9].*[A-Za-z]|[a-z][A-Z]")
                      & (log_ratio(s["match"], model) >= THRESHOLD))
     return F.array_sort(F.concat(base_spans(text), added))
 
