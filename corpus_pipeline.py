@@ -17,6 +17,7 @@ from parley.session import ensure_checkpoint_dir, scratch_path, ship_package
 def _ready(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    common.bound_batches(spark)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

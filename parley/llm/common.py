@@ -42,6 +42,14 @@ def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def bound_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Arrow batches of at most ``rows`` rows for this session's Python functions, so that a worker holds a few MB of text at once
+    (and the memory that it keeps between stages stays small). Results do not depend on it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,11 +1,13 @@
 """The registered queries of this subpackage: name -> (builder, DuckDB SQL or None). Each runs over its whole tables."""
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.llm import bpe, decontaminate, html, jaccard, lm, quality, secrets, sharding, substring, warc
-from parley.llm.common import table
+from parley.llm.common import bound_batches, table
 from parley.llm.oracle import SQL
 
 
@@ -62,7 +64,15 @@ QUERIES = [op1_secret_scan, op2_substring_dedup, op3_decontaminate, op4_quality_
            op8_html_extract, op9_shard, op10_warc, pipeline]
 
 
+def _bounded(f):
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return f(spark, sf_dir)
+    return run
+
+
 def load() -> dict:
     import corpus_pipeline
     sql = SQL | {"pipeline": corpus_pipeline.ORACLE_SQL}
-    return {f.__name__: (f, sql.get(f.__name__)) for f in QUERIES}
+    return {f.__name__: (_bounded(f), sql.get(f.__name__)) for f in QUERIES}
