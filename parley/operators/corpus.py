@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.text import norm_ws
-from parley.operators.common import broadcast_if_small, top_n_per_group
+from parley.operators.common import top_n_per_group
 
 PAIR_COLS = ("src", "tgt", "direction")
 
@@ -57,11 +57,11 @@ def fan_out(pairs: DataFrame, zh: str = "zh", en: str = "en", keep: Sequence[str
 
 
 def pair_key(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """PF6: canonical (zh, en) of a directed row; any direction but zh2en counts as en2zh."""
+    """PF6: canonical (zh, en) of a directed row; any direction but zh2en counts as en2zh, null text as empty."""
     is_zh2en = F.col("direction") == "zh2en"
     return df.select(*keep,
-                     F.when(is_zh2en, F.col("src")).otherwise(F.col("tgt")).alias("zh"),
-                     F.when(is_zh2en, F.col("tgt")).otherwise(F.col("src")).alias("en"))
+                     F.coalesce(F.when(is_zh2en, F.col("src")).otherwise(F.col("tgt")), F.lit("")).alias("zh"),
+                     F.coalesce(F.when(is_zh2en, F.col("tgt")).otherwise(F.col("src")), F.lit("")).alias("en"))
 
 
 # ---------------------------------------------------------------- SO3 / SK4 / J3 / SO4
@@ -80,8 +80,7 @@ def split_pairs(directed: DataFrame, test_size: int = 2000, seed: int = 42):
     """SK4 + J3 + SO4: leak-free split of unique pairs.
 
     ``n_test = min(test_size, n_unique // 5)`` pairs chosen by a seeded hash
-    order (top-k, no full sort); train = anti join with the test keys, which
-    are broadcast because their count is bounded by ``test_size``.
+    order (top-k, no full sort); train = anti join with the test keys.
     Returns (train_pairs, test_pairs, n_test).
     """
     # materialized once in the shared checkpoint folder: count, top-k and anti join all read it
@@ -89,13 +88,14 @@ def split_pairs(directed: DataFrame, test_size: int = 2000, seed: int = 42):
     n_unique = uniq.count()
     n_test = min(int(test_size), n_unique // 5)
     test = uniq.orderBy(*split_order(seed)).limit(n_test).select("zh", "en")
-    train = uniq.join(F.broadcast(test), ["zh", "en"], "left_anti")
+    train = uniq.join(test, ["zh", "en"], "left_anti")
     return train, test, n_test
 
 
 def label_split(directed: DataFrame, test_size: int = 2000, seed: int = 42) -> DataFrame:
     """Unique pairs with a ``split`` column ('train' / 'test')."""
     train, test, _ = split_pairs(directed, test_size, seed)
+    assert_disjoint(train, test)
     return (train.select("zh", "en", F.lit("train").alias("split"))
             .unionByName(test.select("zh", "en", F.lit("test").alias("split"))))
 
@@ -108,7 +108,7 @@ def members(directed: DataFrame, keys: DataFrame, how: str = "left_semi") -> Dat
 
 def assert_disjoint(train: DataFrame, test: DataFrame) -> None:
     """SO4: raise when a pair is in both train and test."""
-    if not train.select("zh", "en").intersect(test.select("zh", "en")).isEmpty():
+    if not train.join(test.select("zh", "en"), ["zh", "en"], "left_semi").isEmpty():
         raise AssertionError("train/test pair leak")
 
 
@@ -143,20 +143,16 @@ def apply_quota(accepted: DataFrame, sources: DataFrame, targets: dict[str, int]
     """First ``want`` accepted rows of each source, want chosen by the source kind.
 
     Filters are applied before this call (quotas count accepted rows only).
-    One literal-limit window per distinct want keeps WindowGroupLimit in the plan.
+    One pass: the largest want is the literal limit of the window (so
+    WindowGroupLimit stays in the plan), and each kind keeps its own share.
     """
-    tagged = accepted.join(broadcast_if_small(sources.select("source", "kind"), 100_000), "source")
-    parts = []
-    for want in sorted({w for w in targets.values() if w > 0}):
-        kinds = [k for k, w in targets.items() if w == want]
-        sub = tagged.filter(F.col("kind").isin(kinds))
-        parts.append(top_n_per_group(sub, ["source"], order_by, want, salt_buckets=salt_buckets))
-    if not parts:
-        return tagged.limit(0)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    wanted = {k: w for k, w in targets.items() if w > 0}
+    tagged = accepted.join(sources.select("source", "kind"), "source").filter(F.col("kind").isin(list(wanted)))
+    if not wanted:
+        return tagged
+    top = top_n_per_group(tagged, ["source"], order_by, max(wanted.values()), rank_col="_rn", salt_buckets=salt_buckets)
+    want = F.create_map(*[F.lit(x) for kw in wanted.items() for x in kw])
+    return top.filter(F.col("_rn") <= want[F.col("kind")]).drop("_rn")
 
 
 def source_counts(kept: DataFrame) -> DataFrame:

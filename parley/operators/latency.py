@@ -61,6 +61,6 @@ def waitk_pairs(df: DataFrame, key: str, src_units: str, tgt_units: str, k: str,
 
 
 def sample_k(key, seed: int, ks: Sequence[int] = (1, 3, 5, 7)) -> Column:
-    """ST2: k drawn per example from ``ks`` by the first hex digit of md5(seed|key)."""
-    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), _c(key).cast("string"))), 1, 1), 16, 10).cast("int")
-    return F.element_at(F.array(*[F.lit(int(x)) for x in ks]), F.pmod(h, F.lit(len(ks))) + 1)
+    """ST2: k drawn per example from ``ks`` by the first eight hex digits of md5(seed|key)."""
+    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), _c(key).cast("string"))), 1, 8), 16, 10).cast("long")
+    return F.element_at(F.array(*[F.lit(int(x)) for x in ks]), (F.pmod(h, F.lit(len(ks))) + 1).cast("int"))

@@ -5,8 +5,8 @@ Two remap forms with the same results:
 * ``remap_ids`` (join form): posexplode -> broadcast join with the map ->
   regroup by key. The map is vocabulary-sized (bounded by the tokenizer's id
   space) and its row count is checked before the broadcast hint.
-* ``remap_ids_arrow``: a row-local Arrow UDF with one dense NumPy lookup
-  vector shipped once per task; no shuffle, order kept for free.
+* ``remap_ids_arrow``: a row-local Arrow UDF that looks up a whole batch in
+  one sorted NumPy map; no shuffle, order kept for free.
 """
 from __future__ import annotations
 
@@ -60,45 +60,49 @@ def remap_ids(df: DataFrame, ids_col: str, vmap: DataFrame, key: str = "ex_id",
     return g.select(key, F.transform("_s", lambda s: s["v"]).cast("array<int>").alias(out_col))
 
 
-def dense_lookup(vmap: DataFrame, src: str = "old_id", dst: str = "new_id") -> np.ndarray:
-    """Dense int32 vector v[src] = dst (-1 when absent). The map must be vocabulary-sized."""
-    n = vmap.count()
-    if n > MAX_MAP_ROWS:
-        raise ValueError(f"vocabulary map has {n} rows; use remap_ids (join form)")
-    pdf = vmap.select(src, dst).toPandas()
-    size = int(pdf[src].max()) + 1 if len(pdf) else 1
-    lut = np.full(size, -1, dtype=np.int64)
-    lut[pdf[src].to_numpy()] = pdf[dst].to_numpy()
-    return lut
+def sorted_lookup(vmap: DataFrame, src: str = "old_id", dst: str = "new_id") -> tuple[np.ndarray, np.ndarray]:
+    """(ids, values) by ascending id: as large as the map has rows, however large the ids are."""
+    t = vmap.select(F.col(src).cast("long").alias("k"), F.col(dst).cast("long").alias("v")).toPandas().sort_values("k")
+    return t["k"].to_numpy(np.int64), t["v"].to_numpy(np.int64)
+
+
+def look_up(ids: np.ndarray, lookup: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Value of each id, -1 when absent."""
+    keys, values = lookup
+    if not len(keys):
+        return np.full(len(ids), -1, np.int64)
+    at = np.minimum(np.searchsorted(keys, ids), len(keys) - 1)
+    return np.where(keys[at] == ids, values[at], -1)
 
 
 def remap_ids_arrow(df: DataFrame, ids_col: str, vmap: DataFrame, unk: int | None = None,
-                    out_col: str | None = None, inverse: bool = False) -> DataFrame:
-    """SQ1 / SQ2 row-locally: same results as ``remap_ids``, no shuffle."""
+                    out_col: str | None = None, inverse: bool = False, key: str | None = None) -> DataFrame:
+    """SQ1 / SQ2 row-locally: same results as ``remap_ids``, no shuffle.
+
+    The map is sent to the executors when it has at most MAX_MAP_ROWS rows; a larger
+    one goes through the join form by ``key``."""
     src, dst = ("new_id", "old_id") if inverse else ("old_id", "new_id")
-    lut = df.sparkSession.sparkContext.broadcast(dense_lookup(vmap, src, dst))
+    if vmap.count() > MAX_MAP_ROWS and key is not None:
+        return df.drop(out_col or ids_col).join(remap_ids(df, ids_col, vmap, key, unk, out_col, inverse), key)
+    lut = df.sparkSession.sparkContext.broadcast(sorted_lookup(vmap, src, dst))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def _map(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        v = lut.value
         for s in batches:
-            out = []
-            for ids in s:
-                if ids is None:
-                    out.append(None)
-                    continue
-                a = np.asarray(ids, dtype=np.int64)
-                ok = (a >= 0) & (a < len(v))
-                m = np.full(len(a), -1, dtype=np.int64)
-                m[ok] = v[a[ok]]
-                if inverse and (m < 0).any():
-                    raise ValueError(f"unknown new id {int(a[m < 0][0])}")
-                if unk is None:
-                    m = m[m >= 0]
-                else:
-                    m[m < 0] = unk
-                out.append(m.astype(np.int32))
-            yield pd.Series(out)
+            rows = s.to_numpy()
+            null = np.array([x is None for x in rows], bool)
+            sizes = np.array([0 if x is None else len(x) for x in rows], np.int64)
+            flat = np.concatenate([np.asarray(x, np.int64) for x in rows if x is not None]) if sizes.sum() else np.zeros(0, np.int64)
+            m = look_up(flat, lut.value)      # one lookup for the whole batch
+            if inverse and (m < 0).any():
+                raise ValueError(f"unknown new id {int(flat[m < 0][0])}")
+            if unk is None:
+                row = np.repeat(np.arange(len(rows)), sizes)[m >= 0]
+                m, sizes = m[m >= 0], np.bincount(row, minlength=len(rows))
+            else:
+                m[m < 0] = unk
+            parts = np.split(m.astype(np.int32), np.cumsum(sizes)[:-1]) if len(rows) else []
+            yield pd.Series([None if z else p for z, p in zip(null, parts)], dtype=object)
 
     return df.withColumn(out_col or ids_col, _map(F.col(ids_col)))
 
@@ -141,7 +145,7 @@ def build_examples(df: DataFrame, vmap: DataFrame, tok: Tokenizer, eos_new_id: i
     enc = df.select(key, tok.encode(render_prompt("src", "direction")).alias("_p"),
                     tok.encode(F.col("tgt")).alias("_t"))
     if arrow:
-        m = remap_ids_arrow(remap_ids_arrow(enc, "_p", vmap, unk), "_t", vmap, unk)
+        m = remap_ids_arrow(remap_ids_arrow(enc, "_p", vmap, unk, key=key), "_t", vmap, unk, key=key)
     else:
         mp = remap_ids(enc, "_p", vmap, key, unk)
         mt = remap_ids(enc, "_t", vmap, key, unk)

@@ -17,7 +17,7 @@ PSEUDO_CJK = "的一是不了人我在有他这为之大来以个中上们到说
 # Fixed value: whitespace injected into defect rows (tab, U+3000, U+00A0, space).
 INJECTED_WS = "\t\u3000\u00a0 "
 # ex_id = doc_id * LINE_BASE + line_no
-LINE_BASE = 1_000_000
+LINE_BASE = 1 << 32   # a string holds fewer lines than this
 
 
 def spread(df: DataFrame) -> DataFrame:

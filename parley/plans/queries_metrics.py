@@ -102,7 +102,7 @@ def sql_bleu(stats: str, groups: list[str]) -> str:
     logs = [f"CASE WHEN m{n} > 0 THEN ln(m{n} / h{n}) ELSE -ln(pow(2.0, {z[n - 1]}) * greatest(h{n}, 1)) END"
             for n in range(1, 5)]
     return f"""
-        SELECT {g}CASE WHEN h1 = 0 OR h2 = 0 OR h3 = 0 OR h4 = 0 THEN 0.0
+        SELECT {g}CASE WHEN h1 = 0 OR h2 = 0 OR h3 = 0 OR h4 = 0 OR m1 + m2 + m3 + m4 = 0 THEN 0.0
                        ELSE 100.0 * (CASE WHEN h1 >= r1 THEN 1.0 ELSE exp(1.0 - r1 / h1) END)
                             * exp(({' + '.join(f'({x})' for x in logs)}) / 4.0) END AS bleu
         FROM ({_pivot(stats, groups, 4)})"""

@@ -216,11 +216,11 @@ def j6_shift_previous(spark, d):
     FROM (SELECT row_id, input_ids, list_filter(range(1, len(labels)), lambda p: labels[p + 1] <> -100) AS tp
           FROM old_examples)"""))
 def j5_aligned_teacher(spark, d):
+    from parley.operators.export import aligned_count
     from parley.operators.sequences import target_positions
     e = old_examples(spark, d).withColumn("tp", target_positions("labels"))
     e = e.withColumn("t_rows", F.transform("tp", lambda p: F.array(F.get(F.col("input_ids"), p - 1))))
-    e = e.withColumn("_ok", SC.check_aligned("tp", "t_rows"))
-    return e.select("row_id", F.size("tp").alias("n_target"),
+    return e.select("row_id", aligned_count("tp", "t_rows").alias("n_target"),
                     F.array_join(F.transform("t_rows", lambda r: r[0]), " ").alias("prev_ids"))
 
 
@@ -292,3 +292,45 @@ def sq13_batches(spark, d):
     b = SH.batches(visit(spark, d), BATCH)
     return b.select("row_id", "shard_id", "batch_id", F.size("padded_ids").alias("padded_len"),
                     F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"))
+
+
+# ------------------------------------------------------------------ teacher export, written to shards and read back
+T_WIDTH, T_K = 128, 8           # scores over old ids below T_WIDTH, the best T_K of them
+
+
+def hash_scorer(contexts):
+    """A deterministic stand-in for a model: the scores over old ids after each context id."""
+    import numpy as np
+    return ((contexts[:, None] * 31 + np.arange(T_WIDTH)[None, :] * 17) % 97) / 10.0
+
+
+@register("io9_teacher_records", O.with_views(["old_examples", "vmap_small"], f"""
+    , pos AS (SELECT row_id, p, input_ids[p] AS x FROM (
+          SELECT row_id, input_ids, unnest(list_filter(range(1, len(labels)), lambda p: labels[p + 1] <> -100)) AS p FROM old_examples)),
+    tk AS (SELECT x, j, s, row_number() OVER (PARTITION BY x ORDER BY s DESC, j) AS rn FROM (
+          SELECT x, j, ((x * 31 + j * 17) % 97) / 10.0 AS s FROM (SELECT DISTINCT x FROM pos), range({T_WIDTH}) t(j)) QUALIFY rn <= {T_K}),
+    top AS (SELECT x, list(m.new_id ORDER BY rn) AS ids, -ln(sum(exp(s - mx))) AS first_logp FROM (
+          SELECT x, rn, s, m.new_id, max(s) OVER (PARTITION BY x) AS mx FROM tk JOIN vmap_small m ON m.old_id = tk.j) m GROUP BY x),
+    mm AS (SELECT map(list(old_id), list(new_id)) AS m FROM vmap_small),
+    eos AS (SELECT coalesce((SELECT new_id FROM vmap_small WHERE old_id = 1), 0) AS oov)
+    SELECT e.row_id, n_target,
+      array_to_string(list_transform(e.input_ids, lambda v: coalesce(map_extract_value(mm.m, v), eos.oov)), ' ') AS input_ids,
+      array_to_string(list_transform(e.labels, lambda v: CASE WHEN v = -100 THEN -100 ELSE coalesce(map_extract_value(mm.m, v), eos.oov) END), ' ') AS labels,
+      t_ids, round(logp, 6) AS first_logp_sum
+    FROM old_examples e, mm, eos, (
+        SELECT row_id, CAST(count(*) AS INTEGER) AS n_target, sum(coalesce(first_logp, -30.0)) AS logp,
+               string_agg(array_to_string(list_resize(coalesce(ids, []), {T_K}, 0), ' '), '|' ORDER BY p) AS t_ids
+        FROM pos LEFT JOIN top USING (x) GROUP BY row_id) t
+    WHERE t.row_id = e.row_id"""))
+def io9_teacher_records(spark, d):
+    from parley.operators.export import aligned_count, teacher_records
+    from parley.operators.sequences import choose_oov_id, target_positions
+    from parley.plans.queries_vocab import EOS_OLD, PAD_OLD, UNK_OLD, vmap_small
+    vm = vmap_small(spark, d)
+    _, oov = choose_oov_id(vm, EOS_OLD, UNK_OLD, PAD_OLD)
+    path = scratch_path(spark, "teacher")
+    SH.write_shards(teacher_records(old_examples(spark, d), vm, hash_scorer, T_K, oov, key="row_id"), path, ["row_id"], SHARD)
+    r = SH.ShardReader(spark, path).table()
+    return r.select("row_id", aligned_count(target_positions("labels"), F.col("t_ids")).alias("n_target"),
+                    s("input_ids"), s("labels"), F.array_join(F.transform("t_ids", lambda x: F.array_join(x.cast("array<string>"), " ")), "|").alias("t_ids"),
+                    F.aggregate("t_logp", F.lit(0.0), lambda a, x: a + x[0]).alias("first_logp_sum"))

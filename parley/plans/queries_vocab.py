@@ -18,7 +18,8 @@ EOS_OLD, UNK_OLD, PAD_OLD = 2, 1, 0
 SMALL_VOCAB = 60                 # budget of the audit map
 POLICY_VOCAB = 80                # budget of the SK3 keep set
 COVER_NS = (10, 20, 50, 100)
-MAX_LEN = 64
+MAX_LEN = 410                    # two sides of at most 200 characters, the direction tag and eos
+TAIL_LEN = 64                    # the cut shown by sq5_tail_cut alone
 SAMPLES = 10
 
 cp = O.codepoints
@@ -387,6 +388,15 @@ def sq4_assemble_labels(spark, d):
     return old_examples(spark, d).select("row_id", ids_str("input_ids"), ids_str("labels"))
 
 
+@register("sq5_tail_cut", O.with_views(["old_examples"], f"""
+    SELECT row_id, array_to_string(list_slice(input_ids, 1, {TAIL_LEN}), ' ') AS input_ids,
+           array_to_string(list_slice(labels, 1, {TAIL_LEN}), ' ') AS labels FROM old_examples"""))
+def sq5_tail_cut(spark, d):
+    e = old_examples(spark, d)
+    return e.select("row_id", F.array_join(F.slice("input_ids", 1, TAIL_LEN), " ").alias("input_ids"),
+                    F.array_join(F.slice("labels", 1, TAIL_LEN), " ").alias("labels"))
+
+
 @register("sq6_export_remap", O.with_views(["old_examples", "vmap_small"], f"""
     SELECT e.row_id,
       array_to_string(list_transform(e.input_ids, lambda x: coalesce(map_extract_value(mm.m, x), {UNK_OLD})), ' ')

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +45,7 @@ def load_sources(specs: Sequence[SourceSpec], keep: Sequence[str] = ()) -> tuple
             frames.append(adapted.select(F.lit(s.sid).alias("sid"), F.lit(s.kind).alias("kind"),
                                          *adapted.columns))
             meta.append((s.sid, s.kind, "ok"))
-        except AnalysisException as e:
+        except Exception as e:  # any failure of one source leaves the others
             meta.append((s.sid, s.kind, "skip"))
             print(f"[skip] {s.sid} ({s.kind}): {type(e).__name__}")
     if not frames:

@@ -122,3 +122,34 @@ def test_bad_samples_first_n_per_tag(spark):
     s = P.bad_samples(df, 2, ["ex_id", "direction"])
     got = sorted((r.tag, r.ex_id) for r in s.collect())
     assert got == [("empty_tgt", 0), ("empty_tgt", 1), ("punct_only_tgt", 0), ("punct_only_tgt", 1)]
+
+
+def test_null_side_does_not_leak_between_splits(spark):
+    from parley.operators import corpus as C
+    rows = [(None, f"t{i}", "zh2en") for i in range(10)] + [(f"t{i}", None, "en2zh") for i in range(10)] + [(f"s{i}", f"t{i}", "zh2en") for i in range(10)]
+    df = spark.createDataFrame(rows, "src string, tgt string, direction string")
+    out = C.label_split(df, 4, 1).collect()
+    assert len(out) == 20 and len({(r.zh, r.en) for r in out}) == 20 and all(r.zh is not None for r in out)
+
+
+def test_quota_by_kind_in_one_pass(spark):
+    from pyspark.sql import functions as F
+    from parley.operators import corpus as C
+    rows = spark.range(90).select(F.concat(F.lit("s"), F.col("id") % 3).alias("source"), "id")
+    kinds = spark.createDataFrame([("s0", "spoken"), ("s1", "general"), ("s2", "other")], "source string, kind string")
+    got = C.apply_quota(rows, kinds, {"spoken": 5, "general": 2}, ["id"])
+    assert sorted((r.source, r.id) for r in got.collect()) == [("s0", i) for i in (0, 3, 6, 9, 12)] + [("s1", 1), ("s1", 4)]
+
+
+def test_any_loader_failure_is_skipped(spark):
+    import pytest
+    from parley.sources import registry as R
+
+    def broken():
+        raise ValueError("not a table")
+    good = R.SourceSpec("a", lambda: spark.createDataFrame([("e", "z")], "english string, non_english string"), "st_pair", "spoken")
+    rows, status = R.load_sources([R.SourceSpec("b", broken, "st_pair", "general"), R.file_source(spark, "c", "/nowhere/at/all", "parquet", "st_pair", "general"), good])
+    assert rows.count() == 1 and {(r.source, r.status) for r in status.collect()} == {("a", "ok"), ("b", "skip"), ("c", "skip")}
+    assert R.require_rows(status) == 1
+    with pytest.raises(RuntimeError):
+        R.require_rows(status.filter("source <> 'a'"))

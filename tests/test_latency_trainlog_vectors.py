@@ -11,16 +11,17 @@ from parley.operators import vectors as VE
 
 
 def test_waitk_delays(spark):
-    df = spark.createDataFrame([(4, 4, 2), (4, 0, 2)], "s int, t int, k int")
+    df = spark.createDataFrame([(5, 3, 1), (2, 6, 4), (3, 0, 1)], "s int, t int, k int")
     got = [r.g for r in df.select(L.waitk_delays("s", "t", "k").alias("g")).collect()]
-    assert got == [[2, 3, 4, 4], []]
+    assert got == [[1, 2, 3], [2, 2, 2, 2, 2, 2], []]
 
 
 def test_average_lagging(spark):
-    df = spark.createDataFrame([([2, 3, 4, 4], 4, 4), ([2, 4], 4, 2), ([], 4, 0), ([1], 4, 3)],
+    df = spark.createDataFrame([([3, 5, 6], 6, 3), ([1, 1, 2], 8, 3), ([], 7, 0), ([2], 5, 4)],
                                "g array<int>, s int, t int")
     got = [r.al for r in df.select(L.average_lagging("g", "s", "t").alias("al")).collect()]
-    assert abs(got[0] - 2.0) < 1e-9 and abs(got[1] - 2.0) < 1e-9 and got[2] == 0.0 and got[3] is None
+    # (3 + 3 + 2) / 3; no delay reaches 8, so (1 - 5/3 - 10/3) / 3
+    assert abs(got[0] - 8 / 3) < 1e-9 and abs(got[1] + 4 / 3) < 1e-9 and got[2] == 0.0 and got[3] is None
 
 
 @pytest.mark.parametrize("k", [1, 2, 3, 5])
@@ -60,6 +61,25 @@ def test_moving_mean_matches_pandas(spark):
     assert all(abs(got[("b", i)] - ref_b[i]) < 1e-9 for i in range(30))
 
 
+def test_moving_mean_keeps_nan_in_its_window_and_crosses_chunks(spark):
+    vals = [1.0, 1.0, float("nan"), 4.0, 1.0, 1.0, 7.0, 1.0]
+    steps = spark.createDataFrame([("a", i, v) for i, v in enumerate(vals)], "run string, step long, loss double")
+    got = [r.avg_loss for r in TL.moving_mean(steps, 3, chunk=4).orderBy("step").collect()]
+    want = pd.Series(vals)
+    want = [want[max(0, i - 2):i + 1].mean(skipna=False) for i in range(8)]
+    assert np.allclose(got, want, equal_nan=True) and sum(map(math.isnan, got)) == 3
+
+
+def test_micro_batches_without_a_loss_are_not_numbered(spark):
+    df = spark.createDataFrame([("a", 1, 0.5), ("a", 2, None), ("a", 3, float("nan")), ("a", 4, 0.25)], "run string, t int, loss double")
+    assert sorted((r.t, r.micro) for r in TL.number_micro(df, "run", ["t"]).collect()) == [(1, 0), (3, 1), (4, 2)]
+
+
+def test_sample_k_reaches_every_choice(spark):
+    ks = list(range(20))
+    assert {r.k for r in spark.range(2000).select(L.sample_k("id", 5, ks).alias("k")).collect()} == set(ks)
+
+
 def test_number_within_groups(spark):
     df = spark.createDataFrame([("a", 5), ("b", 1), ("a", 2), ("a", 9)], "g string, t int")
     got = sorted((r.g, r.t, r.n) for r in TL.number_within(df, "g", ["t"], "n").collect())

@@ -163,3 +163,25 @@ def test_segments_text_io(spark, tmp_out):
     IO.write_segments(seg, tmp_out + "/out")
     listing = os.listdir(tmp_out + "/out")
     assert "lang=en" in listing and "lang=fr" in listing
+
+
+def test_bleu_without_any_match_is_zero(spark):
+    from parley.operators import metrics as M
+    df = spark.createDataFrame([(1, ["a", "b", "c", "d", "e"], ["v", "w", "x", "y", "z"])], "k int, h array<string>, r array<string>")
+    assert M.corpus_bleu(df, "k", "h", "r").first().bleu == 0.0
+
+
+def test_batch_counts_against_counters():
+    import random
+    from collections import Counter
+    from parley.operators.metrics import batch_counts
+    rnd = random.Random(6)
+    hyps = [[rnd.choice("abc") for _ in range(rnd.randint(0, 12))] for _ in range(40)] + ["banana", ""]
+    refs = [[rnd.choice("abc") for _ in range(rnd.randint(0, 12))] for _ in range(40)] + ["bandana", "x"]
+    got = batch_counts(hyps, refs, [1, 2, 4])
+    for h, r, row in zip(hyps, refs, got):
+        want = []
+        for n in (1, 2, 4):
+            a, b = (Counter(tuple(x[i:i + n]) for i in range(len(x) - n + 1)) for x in (h, r))
+            want += [sum((a & b).values()), sum(a.values()), sum(b.values())]
+        assert list(row) == want

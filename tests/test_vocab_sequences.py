@@ -18,9 +18,9 @@ def keep_ids(df):
 
 
 def test_token_freq_with_injected_encoder(spark):
-    texts = spark.createDataFrame([("a bb ccc",), ("bb bb",)], "text string")
+    texts = spark.createDataFrame([("kiwi fig fig",), ("date plum",)], "text string")
     got = {r.token_id: r.freq for r in V.token_freq(texts, WORD_LEN).collect()}
-    assert got == {1: 1, 2: 3, 3: 1}
+    assert got == {3: 2, 4: 3}
 
 
 def test_codepoint_and_utf8_tokenizers(spark):
@@ -31,35 +31,35 @@ def test_codepoint_and_utf8_tokenizers(spark):
 
 
 def test_keep_special_then_topk(spark):
-    keep = V.select_keep(freq_of(spark, {10: 100, 11: 50, 12: 1, 13: 1}), V.ids_table(spark, [0, 1]), 4)
+    keep = V.select_keep(freq_of(spark, {41: 9, 37: 6, 52: 2, 60: 2, 33: 1}), V.ids_table(spark, [3, 8]), 5)
     ids = keep_ids(keep)
-    assert {0, 1, 10, 11} == ids
+    assert {3, 8, 41, 37, 52} == ids
 
 
 def test_keep_force_always_retained(spark):
-    keep = V.select_keep(freq_of(spark, {10: 100, 11: 50}), V.ids_table(spark, [0, 1]), 6,
-                         force=V.ids_table(spark, [500, 501, 502]))
+    keep = V.select_keep(freq_of(spark, {21: 30, 22: 12}), V.ids_table(spark, [4]), 4,
+                         force=V.ids_table(spark, [70, 71]))
     ids = keep_ids(keep)
-    assert {500, 501, 502, 0, 1, 10} == ids
+    assert {70, 71, 4, 21} == ids
     reasons = {r.token_id: r.reason for r in keep.collect()}
-    assert reasons[0] == "special" and reasons[500] == "force" and reasons[10] == "fill"
+    assert reasons[4] == "special" and reasons[70] == "force" and reasons[21] == "fill"
 
 
 def test_keep_overflow_beats_budget(spark):
-    keep = V.select_keep(freq_of(spark, {7: 3}), V.ids_table(spark, [0]), 2,
-                         force=V.ids_table(spark, [500, 501, 502]))
-    assert keep_ids(keep) == {0, 500, 501, 502}
+    keep = V.select_keep(freq_of(spark, {15: 8, 16: 5}), V.ids_table(spark, [6, 9]), 3,
+                         force=V.ids_table(spark, [80, 81]))
+    assert keep_ids(keep) == {6, 9, 80, 81}
 
 
 def test_keep_tie_rule_lower_id_first(spark):
-    keep = V.select_keep(freq_of(spark, {5: 1, 3: 1, 9: 1}), V.ids_table(spark, []), 2)
-    assert keep_ids(keep) == {3, 5}
+    keep = V.select_keep(freq_of(spark, {64: 7, 18: 7, 29: 7, 90: 7}), V.ids_table(spark, []), 3)
+    assert keep_ids(keep) == {18, 29, 64}
 
 
 def test_vocab_map_dense_ascending_roundtrip(spark):
-    keep = V.ids_table(spark, [11, 0, 10, 1])
+    keep = V.ids_table(spark, [34, 5, 19])
     vm = {r.old_id: r.new_id for r in V.vocab_map(keep).collect()}
-    assert vm == {0: 0, 1: 1, 10: 2, 11: 3}
+    assert vm == {5: 0, 19: 1, 34: 2}
 
 
 def test_coverage_reports(spark):
@@ -91,7 +91,7 @@ def test_keep_report(spark):
     assert (r.special, r.forced, r.kept, r.target, r.reserve) == (1, 2, 5, 5, 2)
 
 
-VMAP = [(100, 0), (250, 1), (7, 2)]
+VMAP = [(31, 2), (88, 0), (45, 3), (62, 1)]
 
 
 @pytest.fixture
@@ -101,7 +101,7 @@ def vmap(spark):
 
 @pytest.fixture
 def seqs(spark):
-    return spark.createDataFrame([(1, [100, 7, 250]), (2, [100, 999, 7]), (3, []), (4, [999])],
+    return spark.createDataFrame([(1, [45, 31, 31, 88]), (2, [12, 62, 12]), (3, []), (4, [12, 12]), (5, [62])],
                                  "ex_id long, ids array<int>")
 
 
@@ -110,11 +110,11 @@ def test_remap_drop_unk_and_roundtrip(spark, vmap, seqs, arrow):
     fn = (lambda df, **kw: S.remap_ids_arrow(df, "ids", vmap, **kw)) if arrow else \
          (lambda df, **kw: S.remap_ids(df, "ids", vmap, **kw))
     drop = {r.ex_id: r.ids for r in fn(seqs).collect()}
-    assert drop == {1: [0, 2, 1], 2: [0, 2], 3: [], 4: []}
+    assert drop == {1: [3, 2, 2, 0], 2: [1], 3: [], 4: [], 5: [1]}
     unk = {r.ex_id: r.ids for r in fn(seqs, unk=9).collect()}
-    assert unk == {1: [0, 2, 1], 2: [0, 9, 2], 3: [], 4: [9]}
+    assert unk == {1: [3, 2, 2, 0], 2: [9, 1, 9], 3: [], 4: [9, 9], 5: [1]}
     back = {r.ex_id: r.ids for r in fn(fn(seqs), inverse=True).collect()}
-    assert back == {1: [100, 7, 250], 2: [100, 7], 3: [], 4: []}
+    assert back == {1: [45, 31, 31, 88], 2: [62], 3: [], 4: [], 5: [62]}
 
 
 def test_unmap_unknown_new_id_raises(spark, vmap):
@@ -158,28 +158,28 @@ def test_build_examples_truncates_and_appends_eos(spark):
 
 
 def test_export_remap_and_oov_choice(spark, vmap):
-    eos_new, oov = S.choose_oov_id(vmap, eos_old=7, unk_old=100, pad_old=None)
-    assert (eos_new, oov) == (2, 0)
-    eos_new, oov = S.choose_oov_id(vmap, eos_old=7, unk_old=None, pad_old=250)
+    eos_new, oov = S.choose_oov_id(vmap, eos_old=45, unk_old=88, pad_old=None)
+    assert (eos_new, oov) == (3, 0)
+    eos_new, oov = S.choose_oov_id(vmap, eos_old=45, unk_old=None, pad_old=62)
     assert oov == 1
     with pytest.raises(ValueError):
         S.choose_oov_id(vmap, eos_old=12345, unk_old=None, pad_old=None)
-    df = spark.createDataFrame([(1, [100, 999, 7], [-100, 999, 7])], "ex_id long, input_ids array<int>, labels array<int>")
+    df = spark.createDataFrame([(1, [88, 12, 45], [-100, 12, 45])], "ex_id long, input_ids array<int>, labels array<int>")
     r = S.export_remap(df, vmap, oov_new=5).first()
-    assert r.input_ids == [0, 5, 2] and r.labels == [-100, 5, 2]
+    assert r.input_ids == [0, 5, 3] and r.labels == [-100, 5, 3]
     hits = S.oov_hits(df, vmap).first()
     assert (hits.target_tokens, hits.oov_hits) == (2, 1)
 
 
 def test_oov_report_and_first_samples(spark, vmap):
     tok = Tokenizer("ids", lambda c: F.transform(F.split(c, " "), lambda x: x.cast("int")))
-    df = spark.createDataFrame([(1, "999 100", "en2zh"), (2, "100 7", "en2zh"), (3, "888", "zh2en")],
+    df = spark.createDataFrame([(1, "12 31", "en2zh"), (2, "88 45", "en2zh"), (3, "13", "zh2en")],
                                "ex_id long, tgt string, direction string")
     rep = {r.direction: r for r in S.oov_report(df, vmap, tok).collect()}
     assert (rep["en2zh"].n, rep["en2zh"].tok, rep["en2zh"].oov, rep["en2zh"].first_oov) == (2, 4, 1, 1)
     assert rep["zh2en"].first_oov == 1 and rep["zh2en"].oov_pct == 100.0
     s = S.first_oov_samples(df, vmap, tok, 5, ["ex_id"]).collect()
-    assert [(r.ex_id, r.token_id) for r in s] == [(1, 999), (3, 888)]
+    assert [(r.ex_id, r.token_id) for r in s] == [(1, 12), (3, 13)]
 
 
 def test_decode_with_pieces(spark):
