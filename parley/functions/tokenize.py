@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions.text import words
+from parley.operators.common import broadcast_if_small
+
+MAX_PIECES = 2_000_000
 
 
 def _c(c) -> Column:
@@ -80,10 +83,10 @@ def decode_ids(df: DataFrame, ids_col: str, pieces: DataFrame, key: str = "ex_id
                sep: str = "") -> DataFrame:
     """(key, text) by joining ids to a (token_id, piece) table and joining in order.
 
-    The piece table is vocabulary-sized and broadcast; unknown ids decode to ''.
+    The piece table is vocabulary-sized and broadcast if its counted size allows; unknown ids decode to ''.
     """
     ex = df.select(key, F.posexplode(ids_col).alias("pos", "token_id"))
-    j = ex.join(F.broadcast(pieces), "token_id", "left")
+    j = ex.join(broadcast_if_small(pieces, MAX_PIECES), "token_id", "left")
     g = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("piece", F.lit(""))
                                                                  .alias("p")))).alias("_s"))
     out = g.select(key, F.array_join(F.transform("_s", lambda s: s["p"]), sep).alias("text"))

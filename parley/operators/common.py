@@ -1,11 +1,11 @@
 """Plan-shape helpers shared by the operators.
 
 * ``top_n_per_group``: first n rows per group through ``row_number() <= n`` so
-  Catalyst plans a partial ``WindowGroupLimit`` before the shuffle; an
-  optional salted first level bounds the work of a hot group.
+  Catalyst plans a partial ``WindowGroupLimit`` before the shuffle; a tree
+  of salted levels bounds the rows of a hot group in one task.
 * ``global_index``: 0-based position in a total order without a single-partition
   window (range partitioning + per-partition offsets).
-* ``broadcast_if_small``: broadcast only after the row count has been checked.
+* ``broadcast_if_small``: broadcast only after rows and bytes have been counted.
 """
 from __future__ import annotations
 
@@ -13,6 +13,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
+
+FAN_IN = 16
+MAX_BROADCAST_BYTES = 128 << 20
 
 
 def _cols(cols) -> list[Column]:
@@ -20,21 +24,26 @@ def _cols(cols) -> list[Column]:
 
 
 def top_n_per_group(df: DataFrame, keys: Sequence, order: Sequence, n: int,
-                    rank_col: str | None = None, salt_buckets: int = 0) -> DataFrame:
+                    rank_col: str | None = None, salt_buckets: int | None = None) -> DataFrame:
     """Keep the first ``n`` rows of each group by ``order`` (a total order).
 
-    With ``salt_buckets > 1`` a first pass keeps the first ``n`` of each
-    (group, hash-bucket); the union of those holds every group's first ``n``,
-    so a group holding a third of all rows never reaches one task whole.
+    A tree of salted levels comes first: each keeps the first ``n`` of every (group, hash bucket), with
+    ``FAN_IN`` times fewer buckets at the next one, down to the group itself. Buckets below the first level
+    take in ``FAN_IN`` buckets each, so one task gets at most ``n * FAN_IN`` rows of a group, however large
+    it is. ``salt_buckets`` is the first level's count (default: the shuffle partitions; 0 or 1: no salt).
     """
     keys_c, order_c = _cols(keys), _cols(order)
-    if salt_buckets and salt_buckets > 1:
-        # salt from the row content (deterministic on re-execution); sort orders cannot be hashed
-        from pyspark.sql.types import MapType
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if salt_buckets is None else salt_buckets
+    if buckets > 1:
+        # salt from the row content (deterministic on re-execution); map columns cannot be hashed
         hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-        salt = F.pmod(F.xxhash64(*hashable), F.lit(salt_buckets))
-        w1 = W.partitionBy(*keys_c, salt).orderBy(*order_c)
-        df = df.withColumn("__rn1", F.row_number().over(w1)).filter(F.col("__rn1") <= n).drop("__rn1")
+        df = df.withColumn("__salt", F.pmod(F.xxhash64(*hashable), F.lit(buckets)))
+        while buckets > 1:
+            w = W.partitionBy(*keys_c, "__salt").orderBy(*order_c)
+            df = df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
+            df = df.withColumn("__salt", F.floor(F.col("__salt") / FAN_IN))
+            buckets = -(-buckets // FAN_IN)
+        df = df.drop("__salt")
     w = W.partitionBy(*keys_c).orderBy(*order_c)
     rc = rank_col or "__rn"
     out = df.withColumn(rc, F.row_number().over(w)).filter(F.col(rc) <= n)
@@ -78,7 +87,20 @@ def global_index(df: DataFrame, order: Sequence, name: str = "idx", start: int =
     return out.drop("__pid", "__loc", "__off")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the table is proven to hold at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: 8 for a number, the length of strings, and the JSON length of anything nested."""
+    def one(f) -> Column:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(f.name), F.lit(0))
+        if isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0))
+        return F.lit(8)
+    return sum((one(f) for f in df.schema.fields), F.lit(0)).cast("long")
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only when the table is proven to hold at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    One aggregate with partial sums; beyond the bounds the join shuffles, with the same results."""
+    size = df.select(_row_bytes(df).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if size["n"] <= max_rows and size["b"] <= max_bytes else df

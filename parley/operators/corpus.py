@@ -139,7 +139,7 @@ def quota_targets(total: int, spoken_ratio: float = 0.7) -> dict[str, int]:
 
 
 def apply_quota(accepted: DataFrame, sources: DataFrame, targets: dict[str, int],
-                order_by: Sequence, salt_buckets: int = 0) -> DataFrame:
+                order_by: Sequence, salt_buckets: int | None = None) -> DataFrame:
     """First ``want`` accepted rows of each source, want chosen by the source kind.
 
     Filters are applied before this call (quotas count accepted rows only).
@@ -174,6 +174,6 @@ def calib_segments(docs: DataFrame, text: str = "text", lang: str = "lang",
 
 
 def per_lang_limit(segments: DataFrame, per_lang: int, order_by: Sequence = ("doc_id", "pos"),
-                   salt_buckets: int = 0) -> DataFrame:
+                   salt_buckets: int | None = None) -> DataFrame:
     """First ``per_lang`` segments of each language."""
     return top_n_per_group(segments, ["lang"], list(order_by), per_lang, salt_buckets=salt_buckets)

@@ -57,7 +57,7 @@ def quality_profile(df: DataFrame, src: str = "src", tgt: str = "tgt", direction
 
 
 def bad_samples(df: DataFrame, n: int, order_by: Sequence, src: str = "src", tgt: str = "tgt",
-                direction: str = "direction", width: int = 60, salt_buckets: int = 0) -> DataFrame:
+                direction: str = "direction", width: int = 60, salt_buckets: int | None = None) -> DataFrame:
     """First ``n`` rows per problem tag across directions, values cut to ``width``.
 
     Ultra-short rows are counted in the profile but never sampled.

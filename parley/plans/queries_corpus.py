@@ -188,7 +188,7 @@ def j3_train_rows(spark, d):
 
 
 # ------------------------------------------------------------------ W1 / W2 / AG18
-def quota(spark, d, salt_buckets: int = 0):
+def quota(spark, d, salt_buckets: int | None = None):
     targets = C.quota_targets(QUOTA_TOTAL, QUOTA_RATIO)
     return C.apply_quota(accepted(spark, d), X.sources(spark, d), targets, ["doc_id", "line_no"],
                          salt_buckets=salt_buckets)

@@ -17,6 +17,7 @@ from parley.streaming import revisions as RV
 REVISIONS = 4     # partial revisions per utterance
 STABLE_N = 2      # revisions a prefix must survive
 TRIGGER_K = 3     # units per firing
+CLOSING = "closing"  # session of the row that ends a bounded stream
 
 
 def partials(spark, d):
@@ -77,9 +78,13 @@ def st4_trigger_points(spark, d):
 
 @register("st4_trigger_stream", O.with_views(["fired"], "SELECT session, ts, stable_len, emitted, fire FROM fired"))
 def st4_trigger_stream(spark, d):
-    """ST3 + ST4 through applyInPandasWithState over a file stream; equals the batch form."""
+    """ST3 + ST4 through applyInPandasWithState over a file stream; equals the batch form.
+
+    A bounded input has no later rows to move the watermark past its end, so a closing row does."""
     src = scratch_path(spark, "partials")
-    partials(spark, d).write.mode("overwrite").json(src)
+    rows = partials(spark, d)
+    end = rows.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts")).select(F.lit(CLOSING).alias("session"), "ts", F.lit("").alias("text"))
+    rows.unionByName(end).write.mode("overwrite").json(src)
     stream = spark.readStream.schema("session string, ts timestamp, text string").json(src)
     out, ck = scratch_path(spark, "st4-out"), scratch_path(spark, "st4-ckpt")
     q = (RV.stable_stream(stream, STABLE_N, TRIGGER_K).writeStream.outputMode("append")

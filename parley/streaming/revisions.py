@@ -3,9 +3,9 @@
 
 Batch form: windows over (session ordered by ts). A session is one utterance
 stream, so its window is bounded by the utterance, not by the data.
-Stream form: ``applyInPandasWithState`` keyed by session keeps the last
-``n`` revisions and the number of units already emitted; its output equals
-the batch form on the same input.
+Stream form: ``applyInPandasWithState`` keyed by session holds revisions until
+the watermark passes them, so its output equals the batch form on the same
+input up to the watermark, in any order of arrival.
 """
 from __future__ import annotations
 
@@ -68,8 +68,8 @@ def segment_latency(fired: DataFrame, session: str = "session", ts: str = "ts")
 
 
 # ---------------------------------------------------------------- streaming form (ST3 + ST4)
-STATE_SCHEMA = "last_texts array<string>, emitted int"
-OUT_SCHEMA = "session string, ts timestamp, stable_len int, emitted int, fire boolean"
+STATE_SCHEMA = "held_us array<bigint>, held_text array<string>, last_texts array<string>, emitted int, seen_us bigint"
+OUT_SCHEMA = "session string, us bigint, stable_len int, emitted int, fire boolean"
 
 
 def _lcp(lists: list[list[str]]) -> int:
@@ -84,25 +84,45 @@ def _lcp(lists: list[list[str]]) -> int:
 
 
 def stable_stream(partials: DataFrame, n: int, k: int, session: str = "session", ts: str = "ts",
-                  text: str = "text", watermark: str = "10 minutes") -> DataFrame:
-    """ST3 + ST4 on a stream: per session state = last n revisions + units emitted."""
+                  text: str = "text", watermark: str = "10 minutes", idle_ms: int = 600_000) -> DataFrame:
+    """ST3 + ST4 on a stream, in event-time order whatever the order of arrival.
+
+    Per session the state holds the revisions the watermark has not passed yet, the last ``n`` texts and the
+    units emitted. A timer at the oldest held revision releases it, in order, once the watermark is beyond it;
+    ``idle_ms`` of event time after its last revision a session's state ends. Revisions behind the watermark
+    are late and left out, as are those without a time; equal times are ordered by text.
+    """
 
     def step(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last, emitted = ([], 0)
+        held, last, emitted, seen = [], [], 0, 0
         if state.exists:
-            last, emitted = list(state.get[0]), int(state.get[1])
+            us, texts, last, emitted, seen = state.get
+            held, last = list(zip(us, texts)), list(last)
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                held += zip(pdf["_us"].tolist(), pdf["_text"].tolist())
+        held.sort()
+        passed = state.getCurrentWatermarkMs() * 1000
+        ready = [h for h in held if h[0] <= passed]
+        held = held[len(ready):]
         rows = []
-        for pdf in pdfs:
-            for t, x in sorted(zip(pdf[ts], pdf[text]), key=lambda r: r[0]):
-                last = (last + [x or ""])[-n:]
-                s = _lcp([" ".join(v.split()).split(" ") if v.split() else [] for v in last])
-                new_emit = max(emitted, (s // k) * k)
-                rows.append((key[0], t, s, new_emit, new_emit > emitted))
-                emitted = new_emit
-        state.update((last, emitted))
+        for t, x in ready:
+            last = (last + [x])[-n:]
+            s = _lcp([v.split() for v in last])
+            units = max(emitted, (s // k) * k)
+            rows.append((key[0], t, s, units, units > emitted))
+            emitted, seen = units, t
+        idle_at = seen // 1000 + idle_ms
+        if not held and idle_at * 1000 <= passed:
+            if state.exists:
+                state.remove()
+        else:
+            state.update(([h[0] for h in held], [h[1] for h in held], last, emitted, seen))
+            state.setTimeoutTimestamp(-(-held[0][0] // 1000) if held else idle_at)
         if rows:
-            yield pd.DataFrame(rows, columns=["session", "ts", "stable_len", "emitted", "fire"])
+            yield pd.DataFrame(rows, columns=["session", "us", "stable_len", "emitted", "fire"])
 
-    src = partials.withWatermark(ts, watermark).select(F.col(session).cast("string").alias(session), ts, text)
-    return src.groupBy(session).applyInPandasWithState(step, OUT_SCHEMA, STATE_SCHEMA, "append",
-                                                       GroupStateTimeout.NoTimeout)
+    src = partials.filter(F.col(ts).isNotNull()).withWatermark(ts, watermark).select(
+        F.col(session).cast("string").alias(session), ts, F.unix_micros(ts).alias("_us"), F.coalesce(F.array_join(words(text), " "), F.lit("")).alias("_text"))
+    out = src.groupBy(session).applyInPandasWithState(step, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    return out.select("session", F.timestamp_micros("us").alias("ts"), "stable_len", "emitted", "fire")

@@ -15,7 +15,7 @@ def skewed(spark):
     return spark.createDataFrame(rows, "g string, id int, v double").repartition(9)
 
 
-@pytest.mark.parametrize("salt", [0, 16])
+@pytest.mark.parametrize("salt", [None, 0, 1, 16, 40, 300])
 def test_top_n_per_group_matches_python(skewed, salt):
     got = {(r.g, r.id) for r in top_n_per_group(skewed, ["g"], [F.col("v").desc(), "id"], 5, salt_buckets=salt).collect()}
     rows = skewed.collect()
@@ -26,6 +26,11 @@ def test_top_n_per_group_matches_python(skewed, salt):
     assert got == want
 
 
+def test_top_n_salted_levels_shrink_by_fan_in(skewed):
+    plan = top_n_per_group(skewed, ["g"], ["id"], 3, salt_buckets=300)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 4  # 300, 19 and 2 buckets, then the group
+
+
 def test_top_n_plan_has_group_limit(skewed):
     plan = top_n_per_group(skewed, ["g"], ["id"], 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
@@ -58,3 +63,10 @@ def test_broadcast_if_small_checks_size(spark):
     assert "ResolvedHint" in j_small._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in j_big._jdf.queryExecution().analyzed().toString()
     assert j_small.count() == 5 and j_big.count() == 50
+
+
+def test_broadcast_if_small_checks_bytes(spark):
+    wide = spark.range(5).select("id", F.repeat(F.lit("x"), 1000).alias("s"), F.array("id").alias("a"))
+    hinted = lambda b: "ResolvedHint" in spark.range(9).join(
+        broadcast_if_small(wide, 10, b), "id")._jdf.queryExecution().analyzed().toString()
+    assert hinted(10_000) and not hinted(4_000)
