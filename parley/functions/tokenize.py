@@ -55,10 +55,6 @@ CODEPOINT = Tokenizer("codepoint", codepoint_ids)
 UTF8 = Tokenizer("utf8", utf8_byte_ids)
 
 
-def whitespace_vocab_tokens(c) -> Column:
-    return words(c)
-
-
 def file_tokenizer(path: str, add_special_tokens: bool = False) -> Tokenizer:
     """External ``tokenizers`` JSON file, applied in Arrow batches on the executors."""
 

@@ -158,8 +158,3 @@ def map_audit(keep_ids: DataFrame, used_ids: DataFrame) -> DataFrame:
 def minus(a: DataFrame, b: DataFrame, col: str = "token_id") -> DataFrame:
     """SO2: ids of ``a`` absent from ``b``."""
     return a.select(col).distinct().join(b.select(col), col, "left_anti")
-
-
-def oov_ids(ids: DataFrame, vmap: DataFrame) -> DataFrame:
-    """PF15 helper: ids not in the map (``left_anti`` against old_id)."""
-    return ids.join(vmap.select(F.col("old_id").alias("token_id")), "token_id", "left_anti")

@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
-# Oracle SQL that is correct but too slow for the driver's gate on whole tables
-# (n-gram metrics in DuckDB take minutes); run by tools/check_oracle.py --slow.
-SLOW_SQL: dict[str, str] = {}
 ROUND = 6
 
 
@@ -48,16 +45,13 @@ def _bigint_counts(sql: str) -> str:
         i = k + 1
 
 
-def register(name: str, sql: str | None = None, slow: bool = False):
+def register(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return rounded(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
-        oracle = _bigint_counts(sql) if sql else None
-        if slow and oracle:
-            SLOW_SQL[name] = oracle
-        REGISTRY[name] = (run, None if slow else oracle)
+        REGISTRY[name] = (run, _bigint_counts(sql) if sql else None)
         return fn
     return deco
 

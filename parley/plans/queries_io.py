@@ -33,12 +33,7 @@ def io1_io2_pairs_jsonl(spark, d):
 def io3_io4_segments_text(spark, d):
     path = scratch_path(spark, "segments")
     IO.write_segments(C.calib_segments(X.table(spark, d, "documents")), path, by="lang")
-    langs = [r["lang"] for r in X.table(spark, d, "documents").select("lang").distinct().collect()]  # partition dirs
-    parts = [IO.read_segments(spark, f"{path}/lang={lg}").select(F.lit(lg).alias("lang"), "segment") for lg in langs]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return IO.read_segments(spark, path, by="lang")
 
 
 # ------------------------------------------------------------------ IO7 / IO8
@@ -60,7 +55,7 @@ def sk5_head_limit(spark, d):
     SELECT direction, count(*) AS n FROM flags_dirty GROUP BY direction ORDER BY direction"""))
 def sk6_sorted_directions(spark, d):
     prof = P.quality_profile(directed_dirty(spark, d)).filter(F.col("direction") != "__all__")
-    return prof.select("direction", "n").orderBy("direction")
+    return C.sorted_by(prof.select("direction", "n"))
 
 
 # ------------------------------------------------------------------ U3

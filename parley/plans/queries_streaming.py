@@ -105,11 +105,11 @@ def st5_segment_latency(spark, d):
 
 
 # ------------------------------------------------------------------ ST8
-def _continuous(spark, d):
+def _continuous(spark, d, job):
     src, out, ck = scratch_path(spark, "st8-src"), scratch_path(spark, "st8-out"), scratch_path(spark, "st8-ckpt")
     IO.write_pairs(directed_dirty(spark, d), src)
-    SC.run_continuous(spark, src, out, ck, CODEPOINT)
-    return out
+    SC.run_continuous(spark, src, out, ck, CODEPOINT, only=[job])
+    return SC.latest(spark, f"{out}/{job}")
 
 
 @register("st8_stream_profile", O.with_views(["flags_dirty"], """
@@ -119,7 +119,7 @@ def _continuous(spark, d):
            count_if(tgt_has_cjk) AS tgt_has_cjk, count_if(src_eq_tgt) AS src_eq_tgt
     FROM flags_dirty GROUP BY direction"""))
 def st8_stream_profile(spark, d):
-    return spark.read.parquet(_continuous(spark, d) + "/profile")
+    return _continuous(spark, d, "profile")
 
 
 @register("st8_stream_token_freq", O.with_views(["directed_dirty"], f"""
@@ -128,4 +128,4 @@ def st8_stream_profile(spark, d):
             SELECT src AS text FROM directed_dirty UNION ALL SELECT tgt FROM directed_dirty))
     GROUP BY token_id"""))
 def st8_stream_token_freq(spark, d):
-    return spark.read.parquet(_continuous(spark, d) + "/token_freq")
+    return _continuous(spark, d, "token_freq")

@@ -38,10 +38,12 @@ def write_pairs(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 # ---------------------------------------------------------------- IO3 / IO4
-def read_segments(spark: SparkSession, path: str) -> DataFrame:
-    """IO3: one segment per line, stripped, blank lines dropped."""
-    t = spark.read.option("lineSep", "\n").text(path)
-    return t.select(strip_ws("value").alias("segment")).filter(F.length("segment") > 0)
+def read_segments(spark: SparkSession, path: str, by: str | None = None) -> DataFrame:
+    """IO3: one segment per line, stripped, blank lines dropped; with ``by``, the folders of that
+    partition column are found by one scan and give its value."""
+    r = spark.read.option("lineSep", "\n")
+    t = r.schema(f"value string, {by} string").text(path) if by else r.text(path)
+    return t.select(*([by] if by else []), strip_ws("value").alias("segment")).filter(F.length("segment") > 0)
 
 
 def write_segments(df: DataFrame, path: str, by: str | None = "lang", mode: str = "overwrite") -> None:
@@ -63,11 +65,14 @@ def read_vocab_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_vocab_map(vmap: DataFrame, path: str, json_path: str | None = None) -> None:
-    """IO8: the map as Parquet; optionally also the JSON export form (one object, string keys)."""
+    """IO8: the map as Parquet; optionally also the JSON export form (one object, string keys, by id).
+
+    The JSON form is one document by its format, so one row holds the id space, as in ``read_vocab_map``."""
     vmap.select("old_id", "new_id").write.mode("overwrite").parquet(path)
     if json_path:
-        obj = vmap.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(
-            F.struct(F.col("old_id").cast("string"), F.col("new_id")))))).alias("value"))
+        entries = F.array_sort(F.collect_list(F.struct("old_id", "new_id")))
+        obj = vmap.agg(F.to_json(F.map_from_entries(F.transform(
+            entries, lambda e: F.struct(e["old_id"].cast("string"), e["new_id"])))).alias("value"))
         obj.coalesce(1).write.mode("overwrite").text(json_path)
 
 
@@ -82,8 +87,9 @@ def write_eval_jsonl(records: DataFrame, summary: DataFrame, path: str) -> None:
 
 def read_eval_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """IO13: records of an evaluation JSONL; blank lines and rows having a ``summary`` key are skipped
-    (key presence, so {"summary": null} is skipped too)."""
+    (key presence, so {"summary": null} is skipped too). ``ex_id`` numbers the rows of the scan, so repeated
+    records keep keys of their own."""
     t = spark.read.option("lineSep", "\n").text(path).filter(F.length(F.trim("value")) > 0)
     t = t.filter(~F.coalesce(F.array_contains(F.json_object_keys("value"), "summary"), F.lit(False)))
     r = t.select(F.from_json("value", EVAL_SCHEMA, {"mode": "FAILFAST"}).alias("r")).select("r.*")
-    return r.withColumn("ex_id", F.xxhash64("direction", "src", "hyp", "ref"))
+    return r.withColumn("ex_id", F.monotonically_increasing_id())

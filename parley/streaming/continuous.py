@@ -8,6 +8,8 @@ by direction / token id, i.e. bounded by the vocabulary, not the data.
 """
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from parley.operators.profile import METRICS, metric_flags
 from parley.operators.vocab import both_sides, token_freq
 from parley.sources.files import PAIR_SCHEMA
 
+JOBS = ("profile", "token_freq")
 
 def pair_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.schema(PAIR_SCHEMA).option("lineSep", "\n").option("mode", "FAILFAST")
@@ -41,29 +44,35 @@ def with_rates(counts: DataFrame) -> DataFrame:
                          *[(F.lit(100.0) * F.col(m) / den).alias(f"pct_{m}") for m in METRICS])
 
 
-def _overwrite_sink(path: str):
+def _versioned_sink(path: str):
+    """Each micro-batch writes a version of its own, so readers never meet a table being replaced."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
     return write
 
 
+def latest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete result under ``path``."""
+    t = spark.read.parquet(path)
+    newest = t.agg(F.max("version")).first()[0]
+    return t.filter(F.col("version").eqNullSafe(F.lit(newest))).drop("version")
+
+
 def run_continuous(spark: SparkSession, src: str, out: str, checkpoint: str, tok: Tokenizer,
-                   available_now: bool = True) -> dict:
-    """Start (and with AvailableNow, finish) the two streaming aggregates.
+                   available_now: bool = True, only: Sequence[str] = JOBS,
+                   max_files_per_trigger: int | None = None) -> dict:
+    """Start (and with AvailableNow, finish) the streaming aggregates named in ``only``.
 
-    Each keeps its complete result in a Parquet table rewritten per micro-batch
-    (``foreachBatch``); progress lives in ``checkpoint`` (a shared folder), so a
+    Each writes its complete result as a new Parquet version per micro-batch
+    (``foreachBatch``, read by ``latest``); progress lives in ``checkpoint`` (a shared folder), so a
     restarted job resumes from the last committed batch.
     """
-    stream = pair_stream(spark, src)
-    jobs = {
-        "profile": profile_counts(stream),
-        "token_freq": token_freq(both_sides(stream), tok),
-    }
+    stream = pair_stream(spark, src, max_files_per_trigger)
+    jobs = {"profile": lambda: profile_counts(stream), "token_freq": lambda: token_freq(both_sides(stream), tok)}
     handles = {}
-    for name, agg in jobs.items():
-        w = (agg.writeStream.outputMode("complete").option("checkpointLocation", f"{checkpoint}/{name}")
-             .foreachBatch(_overwrite_sink(f"{out}/{name}")))
+    for name in only:
+        w = (jobs[name]().writeStream.outputMode("complete").option("checkpointLocation", f"{checkpoint}/{name}")
+             .foreachBatch(_versioned_sink(f"{out}/{name}")))
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
         handles[name] = w.start()
     if available_now:

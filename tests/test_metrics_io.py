@@ -165,6 +165,16 @@ def test_segments_text_io(spark, tmp_out):
     assert "lang=en" in listing and "lang=fr" in listing
 
 
+def test_segments_by_language_and_repeated_eval_records(spark, tmp_out):
+    rows = [("en", "a b"), ("en", "a b"), ("zh", "一"), ("7", "number")]
+    IO.write_segments(spark.createDataFrame(rows, "lang string, segment string"), tmp_out + "/seg")
+    assert sorted((r.lang, r.segment) for r in IO.read_segments(spark, tmp_out + "/seg", by="lang").collect()) == sorted(rows)
+    recs = spark.createDataFrame([("en2zh", "s", "h", "r", 1)] * 3, IO.EVAL_SCHEMA)
+    IO.write_eval_jsonl(recs, recs.groupBy().count(), tmp_out + "/eval")
+    got = IO.read_eval_jsonl(spark, tmp_out + "/eval").collect()
+    assert len(got) == 3 and len({r.ex_id for r in got}) == 3
+
+
 def test_bleu_without_any_match_is_zero(spark):
     from parley.operators import metrics as M
     df = spark.createDataFrame([(1, ["a", "b", "c", "d", "e"], ["v", "w", "x", "y", "z"])], "k int, h array<string>, r array<string>")

@@ -4,6 +4,9 @@ import os
 
 from pyspark.sql import functions as F
 
+from parley.functions.tokenize import CODEPOINT
+from parley.operators import profile as P
+from parley.streaming import continuous as SC
 from parley.streaming import revisions as RV
 
 N, K = 2, 2
@@ -47,3 +50,19 @@ def test_stream_equals_batch_over_micro_batches_and_disorder(spark, tmp_out):
     want = sorted(map(tuple, batch.select("session", "ts", "stable_len", "emitted", "fire").collect()))
     assert got == want
     assert max(states) >= 3 and states[-1] <= 1  # only the closing session is left
+
+
+def test_continuous_profile_equals_batch_after_several_versions(spark, tmp_out):
+    rows = [("one two", "一二三四", "en2zh"), ("", "  ", "en2zh"), ("三", "three", "zh2en"), ("same", "same", "zh2en"), (None, "x", None)]
+    df = spark.createDataFrame(rows, "src string, tgt string, direction string")
+    df.repartition(3).write.json(tmp_out + "/src")
+    SC.run_continuous(spark, tmp_out + "/src", tmp_out + "/out", tmp_out + "/ck", CODEPOINT, only=["profile"], max_files_per_trigger=1)
+    assert sorted(os.listdir(tmp_out + "/out")) == ["profile"] and len(os.listdir(tmp_out + "/out/profile")) >= 2
+    got = SC.with_rates(SC.latest(spark, tmp_out + "/out/profile"))
+    want = P.quality_profile(df).filter("direction <> '__all__'").select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_latest_of_no_rows(spark, tmp_out):
+    spark.createDataFrame([], "direction string, n long").write.parquet(tmp_out + "/t/version=0")
+    assert SC.latest(spark, tmp_out + "/t").count() == 0
