@@ -32,7 +32,7 @@ def test_profile_scan_prunes_columns(spark):
 
 
 def test_small_sf_queries_run(spark):
-    """Every registered query builds and runs on sf0.001 (rows >= 0, stable schema)."""
+    """One query of each family builds and runs on sf0.001; ``tools/check_oracle.py`` runs and compares every one."""
     q = E.queries()
     for name in ["pf2_filter_pairs", "sk4_split_pairs", "sq1_remap_drop", "ag3_oov_report", "io11_locate",
                  "ag16_combined_loss", "ag17_al_by_k", "w7_moving_mean", "sq13_batches"]:
