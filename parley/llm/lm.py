@@ -1,16 +1,19 @@
 """Operator 7, language-model scoring by context-tree weighting over bytes.
 
-* Counting. Runs of ``depth + 1`` bytes (texts lower-cased in A-Z, led by ``depth`` zero bytes) are counted over every training text;
-  each task sums its own counts before the shuffle. Counts of shorter contexts are sums over these.
+* Counting. Runs of ``depth + 1`` bytes (texts lower-cased in A-Z, led by ``depth`` zero bytes) are counted over every text, training
+  and held out apart; each task sums its own counts before the shuffle. Counts of shorter contexts are sums over these. No run is left out.
 * Tree. Each byte is eight binary decisions from the high bit. A node is a context of 0 to ``depth`` bytes with the bits decided so far; it
   has a Krichevsky-Trofimov estimate of its counts. From the deepest contexts up, a node's weighted probability is the mean of its own
   block probability and the product of its children's; the share of its own part is its mixing weight.
-* Scoring. A bit's probability mixes the estimates of all depths by these weights, from the deepest context seen in training.
-  The score is the sum of log10 probabilities of the bytes and of one end byte, so ``-score * log2(10) / bytes`` is the code length per byte.
+* Distribution. The runs are partitioned by the last ``TOP`` bytes of their context, so each task holds whole subtrees of the nodes at
+  depth ``TOP`` and below. The nodes above come from the sums of those subtrees on the driver; they are at most as many as there are
+  runs of ``TOP`` bytes (under four million in UTF-8; 33,573 on 0.5 GB) and are broadcast.
+* Scoring. A bit's probability mixes the estimates of all depths by these weights, from the deepest context seen in training. Every run of
+  the corpus gets its log10 probability where its subtree is. Texts add up those of the ``local_runs`` most frequent runs from a
+  broadcast table; their other runs, each rare, are joined with the rest of the runs. Results do not depend on ``local_runs``.
+  The score is the sum over the bytes and one end byte, so ``-score * log2(10) / bytes`` is the code length per byte.
 
-The model has at most ``max_runs`` distinct runs (a documented bound on its memory and on what is broadcast; every training byte is
-counted, and if there are more runs, the most frequent ones, ties by value, are kept). The base score is an add-one unigram model over
-words, joined by word hash: each text sends each of its distinct words once.
+The base score is an add-one unigram model over words, joined by word hash: each text sends each of its distinct words once.
 
 Null text counts as empty: it has only the end token. Null ids count as the empty text for the fold. Repeated rows each return a row and are
 counted each. With no training texts every bit has probability one half.
@@ -18,19 +21,18 @@ counted each. With no training texts every bit has probability one half.
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm import common as C
 
 DEPTH = 5
-MAX_RUNS = 1 << 20
+TOP = 3  # subtrees are dealt out by this many bytes of context
+LOCAL_RUNS = 1 << 20  # runs whose log probabilities every task holds (16 MB)
 END = 0x01  # put after each text
 LOG10 = math.log(10)
 CHUNK = 1 << 20
@@ -61,12 +63,12 @@ def _counted(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndar
 
 
 def _counts(codes_of):
-    """Sums of the codes that ``codes_of`` takes from texts, one row for each code of a task (or of some millions of codes)."""
+    """Sums of the codes that ``codes_of`` takes from batches with the text first, one row for each code of a task (or of some millions of codes)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, counts, held = [], [], 0
         for batch in batches:
             for part in C.slices(batch, 0, CHUNK):
-                u, c = np.unique(codes_of(part.column(0)), return_counts=True)
+                u, c = np.unique(codes_of(part), return_counts=True)
                 codes.append(u)
                 counts.append(c)
                 held += len(u)
@@ -95,14 +97,18 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """Nodes of the weighted tree as sorted arrays for each (depth, bits decided)."""
+    """Nodes of the weighted tree from depth ``top`` to ``depth`` as sorted arrays for each (depth, bits decided).
 
-    def __init__(self, code: np.ndarray, count: np.ndarray, depth: int):
+    ``deeper`` holds, for each number of bits, nodes at ``depth`` with the summed log probabilities of their children, if the tree
+    goes on below; ``sums`` holds the same for the nodes at ``top - 1``, and ``under`` puts the nodes of that tree on top."""
+
+    def __init__(self, code: np.ndarray, count: np.ndarray, depth: int, top: int = 0, deeper: dict[int, tuple[np.ndarray, np.ndarray]] | None = None):
         self.depth = depth
         self.nodes: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for bits in range(8):
-            below = None
-            for d in range(depth, -1, -1):
+            below = deeper[bits] if deeper else None
+            for d in range(depth, top - 1, -1):
                 tail = code & np.uint64((1 << 8 * (d + 1)) - 1)
                 child = tail >> np.uint64(7 - bits)  # context, the bits decided and the next bit
                 ids, inverse = np.unique(child >> np.uint64(1), return_inverse=True)
@@ -111,13 +117,17 @@ class Tree:
                 own = log_gamma(one + 0.5) + log_gamma(n - one + 0.5) - log_gamma(n + 1) - math.log(math.pi)
                 total, weight = own, np.ones(len(ids))
                 if below is not None:
-                    b_ids, b_total = below
-                    up = b_ids & np.uint64((1 << (8 * d + bits)) - 1)
-                    deeper = np.bincount(np.searchsorted(ids, up), weights=b_total, minlength=len(ids))
-                    total = np.logaddexp(own, deeper) - math.log(2)
+                    children = np.bincount(np.searchsorted(ids, below[0]), weights=below[1], minlength=len(ids))
+                    total = np.logaddexp(own, children) - math.log(2)
                     weight = np.exp(np.clip(own - math.log(2) - total, -700, 0))
                 self.nodes[d, bits] = ids, weight.astype(np.float32), ((one + 0.5) / (n + 1)).astype(np.float32)
-                below = ids, total
+                below = ids & np.uint64((1 << (8 * max(d - 1, 0) + bits)) - 1), total
+            up, inverse = np.unique(below[0], return_inverse=True)
+            self.sums[bits] = up, np.bincount(inverse, weights=below[1], minlength=len(up)).astype(np.float64)
+
+    def under(self, nodes: dict) -> Tree:
+        self.nodes |= nodes
+        return self
 
     def log_probabilities(self, code: np.ndarray) -> np.ndarray:
         """log10 probability of the last byte of each code given the bytes before it."""
@@ -140,65 +150,121 @@ class Tree:
         return out
 
 
-def train(docs: DataFrame, depth: int = DEPTH, max_runs: int = MAX_RUNS) -> tuple[np.ndarray, np.ndarray]:
-    """(code, count) of the runs in the texts of ``docs`` (column text, no nulls), by ascending code."""
-    counts = docs.select("text").mapInArrow(_counts(lambda texts: runs(texts, depth)[0]), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    kept = counts.checkpoint()
-    if kept.count() > max_runs:
-        kept = kept.orderBy(F.desc("n"), "code").limit(max_runs)
-    table = kept.toArrow()  # at most max_runs rows
-    code, n = table["code"].to_numpy().view(np.uint64), table["n"].to_numpy()
+def _marked_runs(depth: int):
+    """Codes of runs of (text, training) batches; one bit above the run tells training texts."""
+    def codes(part: pa.RecordBatch) -> np.ndarray:
+        code, row = runs(part.column(0), depth)
+        return code | part.column(1).cast(pa.uint8()).to_numpy(zero_copy_only=False).astype(np.uint64)[row] << np.uint64(8 * (depth + 1))
+    return codes
+
+
+def corpus_runs(d: DataFrame, depth: int, top: int) -> DataFrame:
+    """(top_bytes, code, n, m): how often each run stands in training texts, and in all; dealt out by the context's last ``top`` bytes."""
+    bit = 8 * (depth + 1)
+    code = F.col("code").bitwiseAND(F.lit((1 << bit) - 1))
+    raw = (d.select("text", "training").mapInArrow(_counts(_marked_runs(depth)), "code long, n long")
+           .select(F.shiftright(code, 8).bitwiseAND(F.lit((1 << 8 * top) - 1)).alias("top_bytes"), code.alias("code"),
+                   (F.shiftright("code", bit) * F.col("n")).alias("n"), F.col("n").alias("m")))
+    return (raw.repartition(C.partitions(d.sparkSession), "top_bytes").groupBy("top_bytes", "code")
+            .agg(F.sum("n").alias("n"), F.sum("m").alias("m")).checkpoint())
+
+
+def _columns(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
+    """code, n and m of a task's whole part of the runs, by ascending code."""
+    parts = [[b.column(i).to_numpy() for i in (1, 2, 3)] for b in batches if b.num_rows]
+    if not parts:
+        return [np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
+    code, n, m = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.argsort(code)
-    return code[order], n[order]
-
-
-_trees: dict[str, Tree] = {}
-_known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-MAX_KNOWN = 2_000_000
-
-
-def _scored(tree: Tree, key: str, code: np.ndarray) -> np.ndarray:
-    """Log probabilities of codes, with a bounded sorted table of those met before."""
-    u, inverse = np.unique(code, return_inverse=True)
-    known, value = _known.get(key, (np.zeros(0, np.uint64), np.zeros(0)))
-    at = np.minimum(np.searchsorted(known, u), max(0, len(known) - 1))
-    got = known[at] == u if len(known) else np.zeros(len(u), bool)
-    out = np.empty(len(u))
-    if len(known):
-        out[got] = value[at[got]]
-    new = u[~got]
-    if len(new):
-        out[~got] = tree.log_probabilities(new)
-        if len(known) + len(new) > MAX_KNOWN:
-            known, value = np.zeros(0, np.uint64), np.zeros(0)
-        place = np.searchsorted(known, new)
-        _known.clear()
-        _known[key] = np.insert(known, place, new), np.insert(value, place, out[~got])
-    return out[inverse]
+    return [code[order].view(np.uint64), n[order], m[order]]
 
 
-def in_training(doc_id: Column) -> Column:
-    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(7)) != 2
+def _subtree_sums(depth: int, top: int):
+    """(bits, node, total): the nodes above a task's subtrees with its share of their children's log probability."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, n, _ = _columns(batches)
+        for bits, (node, total) in Tree(code[n > 0], n[n > 0], depth, top).sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), bits, np.int32)), pa.array(node.view(np.int64)), pa.array(total)], ["bits", "node", "total"])
+    return run
 
 
-def ctw_scores(model: tuple[np.ndarray, np.ndarray], depth: int, spark: SparkSession):
-    """A column function: text to log10 probability."""
-    sent, key = spark.sparkContext.broadcast(model), uuid.uuid4().hex
+def _run_values(depth: int, top: int, upper):
+    """(code, m, value): log10 probability of each run of a task's subtrees."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, n, m = _columns(batches)
+        tree = Tree(code[n > 0], n[n > 0], depth, top).under(upper.value)
+        for at in range(0, len(code), CHUNK):
+            part = code[at:at + CHUNK]
+            yield pa.RecordBatch.from_arrays([pa.array(part.view(np.int64)), pa.array(m[at:at + CHUNK]), pa.array(tree.log_probabilities(part))], ["code", "m", "value"])
+    return run
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if key not in _trees:
-            _trees.clear()
-            _trees[key] = Tree(*sent.value, depth)
-        tree = _trees[key]
-        for texts in batches:
-            batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
-            done = []
-            for part in C.slices(batch, 0, CHUNK):
-                code, row = runs(part.column(0), depth)
-                done.append(np.bincount(row, weights=_scored(tree, key, code), minlength=part.num_rows))
-            yield pd.Series(np.concatenate(done) if done else np.zeros(0))
-    return score
+
+def run_values(d: DataFrame, depth: int = DEPTH, top: int = TOP) -> DataFrame:
+    """(code, m, value) of every run of the rows of ``d`` (text, training): its occurrences and its log10 probability by the training rows."""
+    top = min(top, depth)
+    counted = corpus_runs(d, depth, top)
+    nodes = {}
+    if top:
+        sums = counted.mapInArrow(_subtree_sums(depth, top), "bits int, node long, total double").groupBy("bits", "node").agg(F.sum("total").alias("total")).toArrow()
+        bits, node, total = (sums[c].to_numpy() for c in ("bits", "node", "total"))
+        short = (counted.filter("n > 0").groupBy(F.col("code").bitwiseAND(F.lit((1 << 8 * top) - 1)).alias("code"))
+                 .agg(F.sum("n").alias("n")).toArrow())  # runs of ``top`` bytes
+        nodes = Tree(short["code"].to_numpy().view(np.uint64), short["n"].to_numpy(), top - 1,
+                     deeper={b: (node[bits == b].view(np.uint64), total[bits == b]) for b in range(8)}).nodes
+    upper = d.sparkSession.sparkContext.broadcast(nodes)
+    return counted.mapInArrow(_run_values(depth, top, upper), "code long, m long, value double").checkpoint()
+
+
+def _text_sums(depth: int, frequent):
+    """For each (key_id, key_text, text): one row with the sum over its frequent runs, and one for each of its other runs with its count."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, value = frequent.value
+        for batch in batches:
+            for part in C.slices(batch, 2, CHUNK):
+                code, row = runs(part.column(2), depth)
+                at = np.minimum(np.searchsorted(known, code), max(0, len(known) - 1))
+                here = known[at] == code if len(known) else np.zeros(len(code), bool)
+                sums = np.bincount(row[here], weights=value[at[here]], minlength=part.num_rows).astype(np.float64)  # whole numbers if there are none
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.nulls(part.num_rows, pa.int64()), pa.array(np.ones(part.num_rows, np.int64)), pa.array(sums)],
+                                                 ["key_id", "key_text", "code", "tf", "value"])
+                code, row = code[~here], row[~here]
+                order = np.lexsort((code, row))
+                code, row = code[order], row[order]
+                new = np.ones(len(code), bool)
+                new[1:] = (code[1:] != code[:-1]) | (row[1:] != row[:-1])
+                first = np.flatnonzero(new)
+                r = pa.array(row[first])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(r), part.column(1).take(r), pa.array(code[first].view(np.int64)),
+                                                  pa.array(np.diff(np.append(first, len(code)))), pa.nulls(len(first), pa.float64())],
+                                                 ["key_id", "key_text", "code", "tf", "value"])
+    return run
+
+
+def context_tree_scores(d: DataFrame, depth: int = DEPTH, local_runs: int = LOCAL_RUNS) -> DataFrame:
+    """(key_id, key_text, total): the summed log10 probabilities of the texts of keyed rows with a column training; equal rows are added up."""
+    values = run_values(d, depth)
+    level = F.floor(F.log2("m") * 8)  # at most 64 * 8 steps of frequency
+    least = 0
+    room = local_runs
+    for r in sorted(values.groupBy(level.alias("level")).count().collect(), reverse=True):
+        room -= r["count"]
+        if room < 0:
+            least = r["level"] + 1
+            break
+    table = values.filter(level >= least).select("code", "value").toArrow()  # at most local_runs rows
+    code, value = table["code"].to_numpy().view(np.uint64), table["value"].to_numpy()
+    order = np.argsort(code)
+    frequent = d.sparkSession.sparkContext.broadcast((code[order], value[order]))
+    parts = d.select(*C.KEYS, "text").mapInArrow(
+        _text_sums(depth, frequent), "key_id long not null, key_text long not null, code long, tf long, value double").checkpoint()
+    others = parts.filter("code is not null").drop("value").join(values.filter(level < least).select("code", "value"), "code")
+    return (parts.filter("code is null").select(*C.KEYS, "value")
+            .unionByName(others.select(*C.KEYS, (F.col("tf") * F.col("value")).alias("value")))
+            .groupBy(*C.KEYS).agg(F.sum("value").alias("total")))
+
+
+def in_training(doc_id: Column) -> Column:
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(7)) != 2
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,8 +284,8 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["word", "key_id", "key_text", "tf"])
 
 
-def word_codes(texts: pa.Array) -> np.ndarray:
-    data, offs = C.text_bytes(texts)
+def word_codes(part: pa.RecordBatch) -> np.ndarray:
+    data, offs = C.text_bytes(part.column(0))
     return C.words(C.LOWER[data], offs)[0].view(np.int64)
 
 
@@ -241,13 +307,13 @@ def unigram_scores(d: DataFrame) -> tuple[DataFrame, int, float, bool]:
     return scored, tokens, math.log10(ends + 1) - least, ends > 0
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, max_runs: int = MAX_RUNS) -> DataFrame:
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, local_runs: int = LOCAL_RUNS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of each row of ``docs``."""
     d = C.keyed(docs, id_col, text_col).withColumn("training", in_training(F.col("doc_id")))
-    model = train(d.filter("training"), depth, max_runs)
-    score = ctw_scores(model, depth, d.sparkSession)
+    copies = d.groupBy(*C.KEYS).agg(F.count(F.lit(1)).alias("m"))
+    scores = context_tree_scores(d, depth, local_runs).join(copies, C.KEYS).select(*C.KEYS, (F.col("total") / F.col("m")).alias("score"))
     words, tokens, end_log, end_known = unigram_scores(d)
-    out = d.select("doc_id", *C.KEYS, "training", F.octet_length("text").alias("bytes"), score("text").alias("score")).join(words, C.KEYS, "left")
+    out = d.select("doc_id", *C.KEYS, "training", F.octet_length("text").alias("bytes")).join(scores, C.KEYS, "left").join(words, C.KEYS, "left")
     zero = F.lit(0).cast("long")
     return out.select("doc_id", (~F.col("training")).alias("held_out"), (F.coalesce("n_words", zero) + 1).alias("n_tokens"),
                       (F.coalesce("n_known", zero) + int(end_known)).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),

@@ -259,6 +259,27 @@ def test_context_tree_is_a_distribution_and_learns(spark):
     assert abs(empty.log_probabilities(seen[:1])[0] - 8 * np.log10(0.5)) < 1e-9
 
 
+def test_lm_scores_equal_one_tree_over_all_runs(spark, rows):
+    """Subtrees by task, frequent runs in the table and the others joined: the scores of a single tree that holds every training run."""
+    import zlib
+
+    import numpy as np
+    import pyarrow as pa
+    more = [(d, t) for d, t in rows + EXTRA if d is not None] + [(5000 + i, sentence(900 + i, 30)) for i in range(30)]
+    training = [t or "" for d, t in more if zlib.crc32(str(d).encode()) % 7 != 2]
+    assert 0 < len(training) < len(more)
+    code, n = np.unique(lm.runs(pa.array(training, pa.large_string()), lm.DEPTH)[0], return_counts=True)
+    tree = lm.Tree(code, n, lm.DEPTH)
+    want = {}
+    for d, t in more:
+        want.setdefault(d, set()).add(round(float(tree.log_probabilities(lm.runs(pa.array([t or ""], pa.large_string()), lm.DEPTH)[0]).sum()), 4))
+    for local_runs in (0, 50, lm.LOCAL_RUNS):
+        got = {}
+        for r in lm.lm_scores(frame(spark, more), local_runs=local_runs).collect():
+            got.setdefault(r.doc_id, set()).add(round(r.score, 4))
+        assert got == want, local_runs
+
+
 def test_lm_without_rows(spark, rows):
     assert lm.lm_scores(frame(spark, rows).limit(0)).count() == 0
 
