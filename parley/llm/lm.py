@@ -32,7 +32,8 @@ from parley.llm import common as C
 
 DEPTH = 5
 TOP = 3  # subtrees are dealt out by this many bytes of context
-LOCAL_RUNS = 1 << 20  # runs whose log probabilities every task holds (16 MB)
+LOCAL_RUNS = 1 << 18  # runs whose log probabilities every task holds, in a table of 8 MB that stays in the processor's cache
+EMPTY = np.uint64((1 << 64) - 1)
 END = 0x01  # put after each text
 LOG10 = math.log(10)
 CHUNK = 1 << 20
@@ -215,19 +216,55 @@ def run_values(d: DataFrame, depth: int = DEPTH, top: int = TOP) -> DataFrame:
     return counted.mapInArrow(_run_values(depth, top, upper), "code long, m long, value double").checkpoint()
 
 
+def hash_table(code: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values of an open-addressed table, a power of two of slots, at most half full."""
+    bits = max(4, (2 * len(code)).bit_length())
+    keys, values = np.full(1 << bits, EMPTY), np.zeros(1 << bits)
+    todo, slot = np.arange(len(code)), ((code * C.BASE) >> np.uint64(64 - bits)).astype(np.int64)
+    while len(todo):
+        at = slot[todo]
+        free = keys[at] == EMPTY
+        keys[at[free]] = code[todo[free]]
+        done = keys[at] == code[todo]
+        values[at[done]] = value[todo[done]]
+        todo = todo[~done]
+        slot[todo] = (slot[todo] + 1) & ((1 << bits) - 1)
+    return keys, values
+
+
+def look_up(table: tuple[np.ndarray, np.ndarray], code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the codes, zero where there is none, and the places of those without."""
+    keys, values = table
+    bits = len(keys).bit_length() - 1
+    slot = ((code * C.BASE) >> np.uint64(64 - bits)).astype(np.int64)
+    out = values[slot]
+    todo = np.flatnonzero(keys[slot] != code)
+    missing = []
+    while len(todo):
+        key = keys[slot[todo]]
+        none, found = key == EMPTY, key == code[todo]
+        missing.append(todo[none])
+        out[todo[found]] = values[slot[todo[found]]]
+        todo = todo[~(none | found)]
+        slot[todo] = (slot[todo] + 1) & ((1 << bits) - 1)
+    lost = np.concatenate(missing) if missing else todo
+    out[lost] = 0
+    return out, lost
+
+
 def _text_sums(depth: int, frequent):
     """For each (key_id, key_text, text): one row with the sum over its frequent runs, and one for each of its other runs with its count."""
+    names = ["key_id", "key_text", "code", "tf", "value"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, value = frequent.value
         for batch in batches:
             for part in C.slices(batch, 2, CHUNK):
+                n = part.num_rows
                 code, row = runs(part.column(2), depth)
-                at = np.minimum(np.searchsorted(known, code), max(0, len(known) - 1))
-                here = known[at] == code if len(known) else np.zeros(len(code), bool)
-                sums = np.bincount(row[here], weights=value[at[here]], minlength=part.num_rows).astype(np.float64)  # whole numbers if there are none
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.nulls(part.num_rows, pa.int64()), pa.array(np.ones(part.num_rows, np.int64)), pa.array(sums)],
-                                                 ["key_id", "key_text", "code", "tf", "value"])
-                code, row = code[~here], row[~here]
+                value, lost = look_up(frequent.value, code)
+                sums = np.bincount(row, weights=value, minlength=n).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.nulls(n, pa.int64()), pa.array(np.ones(n, np.int64)), pa.array(sums)], names)
+                code, row = code[lost], row[lost]
                 order = np.lexsort((code, row))
                 code, row = code[order], row[order]
                 new = np.ones(len(code), bool)
@@ -235,8 +272,7 @@ def _text_sums(depth: int, frequent):
                 first = np.flatnonzero(new)
                 r = pa.array(row[first])
                 yield pa.RecordBatch.from_arrays([part.column(0).take(r), part.column(1).take(r), pa.array(code[first].view(np.int64)),
-                                                  pa.array(np.diff(np.append(first, len(code)))), pa.nulls(len(first), pa.float64())],
-                                                 ["key_id", "key_text", "code", "tf", "value"])
+                                                  pa.array(np.diff(np.append(first, len(code)))), pa.nulls(len(first), pa.float64())], names)
     return run
 
 
@@ -252,9 +288,7 @@ def context_tree_scores(d: DataFrame, depth: int = DEPTH, local_runs: int = LOCA
             least = r["level"] + 1
             break
     table = values.filter(level >= least).select("code", "value").toArrow()  # at most local_runs rows
-    code, value = table["code"].to_numpy().view(np.uint64), table["value"].to_numpy()
-    order = np.argsort(code)
-    frequent = d.sparkSession.sparkContext.broadcast((code[order], value[order]))
+    frequent = d.sparkSession.sparkContext.broadcast(hash_table(table["code"].to_numpy().view(np.uint64), table["value"].to_numpy()))
     parts = d.select(*C.KEYS, "text").mapInArrow(
         _text_sums(depth, frequent), "key_id long not null, key_text long not null, code long, tf long, value double").checkpoint()
     others = parts.filter("code is not null").drop("value").join(values.filter(level < least).select("code", "value"), "code")

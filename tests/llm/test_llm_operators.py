@@ -280,6 +280,19 @@ def test_lm_scores_equal_one_tree_over_all_runs(spark, rows):
         assert got == want, local_runs
 
 
+def test_run_table():
+    import numpy as np
+    r = np.random.default_rng(5)
+    code = np.unique(r.integers(0, 1 << 48, 5000, dtype=np.uint64))
+    want = dict(zip(code[::2].tolist(), r.random(len(code[::2])).tolist(), strict=True))
+    asked = np.concatenate([code, code[:7], np.zeros(1, np.uint64)])
+    value, lost = lm.look_up(lm.hash_table(code[::2], np.array(list(want.values()))), asked)
+    assert value.tolist() == [want.get(int(c), 0.0) for c in asked]
+    assert sorted(lost.tolist()) == [i for i, c in enumerate(asked) if int(c) not in want]
+    none, lost = lm.look_up(lm.hash_table(code[:0], np.zeros(0)), asked)
+    assert not none.any() and len(lost) == len(asked)
+
+
 def test_lm_without_rows(spark, rows):
     assert lm.lm_scores(frame(spark, rows).limit(0)).count() == 0
 
