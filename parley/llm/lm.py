@@ -9,11 +9,11 @@
   depth ``TOP`` and below. The nodes above come from the sums of those subtrees on the driver; they are at most as many as there are
   runs of ``TOP`` bytes (under four million in UTF-8; 33,573 on 0.5 GB) and are broadcast.
 * Scoring. A bit's probability mixes the estimates of all depths by these weights, from the deepest context seen in training. Every run of
-  the corpus gets its log10 probability where its subtree is. Texts add up those of the ``local_runs`` most frequent runs from a
-  broadcast table; their other runs, each rare, are joined with the rest of the runs. Results do not depend on ``local_runs``.
+  the corpus gets its log10 probability where its subtree is. Texts add up those of the ``local`` most frequent runs from a
+  broadcast table; their other runs, each rare, are joined with the rest of the runs. Results do not depend on ``local``.
   The score is the sum over the bytes and one end byte, so ``-score * log2(10) / bytes`` is the code length per byte.
 
-The base score is an add-one unigram model over words, joined by word hash: each text sends each of its distinct words once.
+The base score is an add-one unigram model over words by their hashes, summed in the same way.
 
 Null text counts as empty: it has only the end token. Null ids count as the empty text for the fold. Repeated rows each return a row and are
 counted each. With no training texts every bit has probability one half.
@@ -32,7 +32,7 @@ from parley.llm import common as C
 
 DEPTH = 5
 TOP = 3  # subtrees are dealt out by this many bytes of context
-LOCAL_RUNS = 1 << 18  # runs whose log probabilities every task holds, in a table of 8 MB that stays in the processor's cache
+LOCAL = 1 << 19  # runs, and words, whose values every task holds, in a table of 16 MB
 EMPTY = np.uint64((1 << 64) - 1)
 END = 0x01  # put after each text
 LOG10 = math.log(10)
@@ -252,18 +252,20 @@ def look_up(table: tuple[np.ndarray, np.ndarray], code: np.ndarray) -> tuple[np.
     return out, lost
 
 
-def _text_sums(depth: int, frequent):
-    """For each (key_id, key_text, text): one row with the sum over its frequent runs, and one for each of its other runs with its count."""
+def _partial_sums(codes_of, frequent):
+    """For each (key_id, key_text, text): one row with the number and the summed values of its frequent codes, and one for each of its other
+    codes with its count."""
     names = ["key_id", "key_text", "code", "tf", "value"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in C.slices(batch, 2, CHUNK):
                 n = part.num_rows
-                code, row = runs(part.column(2), depth)
+                code, row = codes_of(part.column(2))
                 value, lost = look_up(frequent.value, code)
                 sums = np.bincount(row, weights=value, minlength=n).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.nulls(n, pa.int64()), pa.array(np.ones(n, np.int64)), pa.array(sums)], names)
+                found = np.bincount(row, minlength=n) - np.bincount(row[lost], minlength=n)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.nulls(n, pa.int64()), pa.array(found.astype(np.int64)), pa.array(sums)], names)
                 code, row = code[lost], row[lost]
                 order = np.lexsort((code, row))
                 code, row = code[order], row[order]
@@ -276,80 +278,67 @@ def _text_sums(depth: int, frequent):
     return run
 
 
-def context_tree_scores(d: DataFrame, depth: int = DEPTH, local_runs: int = LOCAL_RUNS) -> DataFrame:
-    """(key_id, key_text, total): the summed log10 probabilities of the texts of keyed rows with a column training; equal rows are added up."""
-    values = run_values(d, depth)
+def text_sums(d: DataFrame, codes_of, values: DataFrame, unseen: float, local: int) -> DataFrame:
+    """(key_id, key_text, t, k, s) of keyed texts: how many codes, how many of them in ``values`` (code, m, value), and their summed values,
+    ``unseen`` for codes that are not in it; equal rows are added up. The at most ``local`` codes of largest m are summed in the tasks, the
+    others are joined."""
     level = F.floor(F.log2("m") * 8)  # at most 64 * 8 steps of frequency
     least = 0
-    room = local_runs
+    room = local
     for r in sorted(values.groupBy(level.alias("level")).count().collect(), reverse=True):
         room -= r["count"]
         if room < 0:
             least = r["level"] + 1
             break
-    table = values.filter(level >= least).select("code", "value").toArrow()  # at most local_runs rows
+    table = values.filter(level >= least).select("code", "value").toArrow()  # at most ``local`` rows
     frequent = d.sparkSession.sparkContext.broadcast(hash_table(table["code"].to_numpy().view(np.uint64), table["value"].to_numpy()))
     parts = d.select(*C.KEYS, "text").mapInArrow(
-        _text_sums(depth, frequent), "key_id long not null, key_text long not null, code long, tf long, value double").checkpoint()
-    others = parts.filter("code is not null").drop("value").join(values.filter(level < least).select("code", "value"), "code")
-    return (parts.filter("code is null").select(*C.KEYS, "value")
-            .unionByName(others.select(*C.KEYS, (F.col("tf") * F.col("value")).alias("value")))
-            .groupBy(*C.KEYS).agg(F.sum("value").alias("total")))
+        _partial_sums(codes_of, frequent), "key_id long not null, key_text long not null, code long, tf long, value double").checkpoint()
+    others = (parts.filter("code is not null").drop("value").join(values.filter(level < least).select("code", "value"), "code", "left")
+              .select(*C.KEYS, F.col("tf").alias("t"), F.when(F.col("value").isNotNull(), F.col("tf")).otherwise(0).alias("k"),
+                      (F.col("tf") * F.coalesce("value", F.lit(unseen))).alias("s")))
+    return (parts.filter("code is null").select(*C.KEYS, F.col("tf").alias("t"), F.col("tf").alias("k"), F.col("value").alias("s")).unionByName(others)
+            .groupBy(*C.KEYS).agg(F.sum("t").alias("t"), F.sum("k").alias("k"), F.sum("s").alias("s")))
+
+
+def context_tree_scores(d: DataFrame, depth: int = DEPTH, local: int = LOCAL) -> DataFrame:
+    """(key_id, key_text, total): the summed log10 probabilities of the texts of keyed rows with a column training; equal rows are added up."""
+    return text_sums(d, lambda texts: runs(texts, depth), run_values(d, depth), 0.0, local).select(*C.KEYS, F.col("s").alias("total"))
 
 
 def in_training(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(7)) != 2
 
 
-def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, key_id, key_text, tf): each distinct word of each text once."""
-    for batch in batches:
-        for part in C.slices(batch, 2, CHUNK):
-            data, offs = C.text_bytes(part.column(2))
-            h, row = C.words(C.LOWER[data], offs)
-            order = np.lexsort((h, row))
-            h, row = h[order], row[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-            first = np.flatnonzero(new)
-            tf = np.diff(np.append(first, len(h))).astype(np.int32)
-            r = pa.array(row[first])
-            yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), part.column(0).take(r), part.column(1).take(r), pa.array(tf)],
-                                             ["word", "key_id", "key_text", "tf"])
-
-
-def word_codes(part: pa.RecordBatch) -> np.ndarray:
-    data, offs = C.text_bytes(part.column(0))
-    return C.words(C.LOWER[data], offs)[0].view(np.int64)
-
-
-def unigram_scores(d: DataFrame) -> tuple[DataFrame, int, float, bool]:
-    """Of keyed rows with a column training: (key_id, key_text, n_words, n_known, base_score) without the end token, the number of training
-    tokens, the end token's log10 probability, and whether it is known."""
-    counts = (d.filter("training").select("text").mapInArrow(_counts(word_codes), "code long, n long")
-              .groupBy("code").agg(F.sum("n").alias("c")).withColumnRenamed("code", "word").checkpoint())
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+def text_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    data, offs = C.text_bytes(texts)
+    return C.words(C.LOWER[data], offs)
+
+
+def unigram_sums(d: DataFrame, local: int = LOCAL) -> tuple[DataFrame, int, float, bool]:
+    """Of keyed rows with a column training: ``text_sums`` of their words without the end token, the number of training tokens, the end
+    token's log10 probability, and whether it is known."""
+    counts = (d.filter("training").select("text").mapInArrow(_counts(lambda part: text_words(part.column(0))[0].view(np.int64)), "code long, n long")
+              .groupBy("code").agg(F.sum("n").alias("m")).checkpoint())
+    total = counts.agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = d.filter("training").count()
     tokens, vocabulary = total["n"] + ends, total["v"] + (1 if ends else 0)
     least = math.log10(tokens + vocabulary + 1)
-    rows = d.select(*C.KEYS, "text").mapInArrow(_word_rows, "word long, key_id long not null, key_text long not null, tf int")
-    log = F.log10(F.coalesce("c", F.lit(0)).cast("double") + 1) - least
-    sums = (rows.join(counts, "word", "left").groupBy(*C.KEYS)
-            .agg(F.sum("tf").alias("t"), F.sum(F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("k"), F.sum(log * F.col("tf")).alias("s")))
-    copies = d.groupBy(*C.KEYS).agg(F.count(F.lit(1)).alias("m"))  # repeated rows have sent their words as often
-    scored = sums.join(copies, C.KEYS).select(*C.KEYS, F.expr("t div m").alias("n_words"), F.expr("k div m").alias("n_known"), (F.col("s") / F.col("m")).alias("base_score"))
-    return scored, tokens, math.log10(ends + 1) - least, ends > 0
+    values = counts.withColumn("value", F.log10(F.col("m").cast("double") + 1) - least)
+    return text_sums(d, text_words, values, -least, local), tokens, math.log10(ends + 1) - least, ends > 0
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, local_runs: int = LOCAL_RUNS) -> DataFrame:
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, local: int = LOCAL) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of each row of ``docs``."""
     d = C.keyed(docs, id_col, text_col).withColumn("training", in_training(F.col("doc_id")))
-    copies = d.groupBy(*C.KEYS).agg(F.count(F.lit(1)).alias("m"))
-    scores = context_tree_scores(d, depth, local_runs).join(copies, C.KEYS).select(*C.KEYS, (F.col("total") / F.col("m")).alias("score"))
-    words, tokens, end_log, end_known = unigram_scores(d)
-    out = d.select("doc_id", *C.KEYS, "training", F.octet_length("text").alias("bytes")).join(scores, C.KEYS, "left").join(words, C.KEYS, "left")
-    zero = F.lit(0).cast("long")
-    return out.select("doc_id", (~F.col("training")).alias("held_out"), (F.coalesce("n_words", zero) + 1).alias("n_tokens"),
-                      (F.coalesce("n_known", zero) + int(end_known)).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
-                      (F.coalesce("base_score", F.lit(0.0)) + end_log).alias("base_score"), "score",
+    scores = context_tree_scores(d, depth, local)
+    words, tokens, end_log, end_known = unigram_sums(d, local)
+    copies = d.groupBy(*C.KEYS).agg(F.count(F.lit(1)).alias("copies"))  # equal rows have been added up
+    each = scores.join(words, C.KEYS).join(copies, C.KEYS).select(
+        *C.KEYS, (F.col("total") / F.col("copies")).alias("score"), F.expr("t div copies").alias("n_words"), F.expr("k div copies").alias("n_known"),
+        (F.col("s") / F.col("copies")).alias("base_score"))
+    out = d.select("doc_id", *C.KEYS, "training", F.octet_length("text").alias("bytes")).join(each, C.KEYS)
+    return out.select("doc_id", (~F.col("training")).alias("held_out"), (F.col("n_words") + 1).alias("n_tokens"),
+                      (F.col("n_known") + int(end_known)).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
+                      (F.col("base_score") + end_log).alias("base_score"), "score",
                       (-F.col("score") * math.log2(10) / (F.col("bytes") + 1)).alias("bits_per_byte"))

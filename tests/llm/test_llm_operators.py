@@ -273,11 +273,14 @@ def test_lm_scores_equal_one_tree_over_all_runs(spark, rows):
     want = {}
     for d, t in more:
         want.setdefault(d, set()).add(round(float(tree.log_probabilities(lm.runs(pa.array([t or ""], pa.large_string()), lm.DEPTH)[0]).sum()), 4))
-    for local_runs in (0, 50, lm.LOCAL_RUNS):
-        got = {}
-        for r in lm.lm_scores(frame(spark, more), local_runs=local_runs).collect():
-            got.setdefault(r.doc_id, set()).add(round(r.score, 4))
-        assert got == want, local_runs
+    base = sorted([(d, *x[:4], round(x[4], 5)) for (d, _), x in zip(more, brute.unigram(more), strict=True)])
+    for local in (0, 50, lm.LOCAL):
+        got = lm.lm_scores(frame(spark, more), local=local).collect()
+        scores = {}
+        for r in got:
+            scores.setdefault(r.doc_id, set()).add(round(r.score, 4))
+        assert scores == want, local
+        assert sorted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in got) == base, local
 
 
 def test_run_table():
