@@ -13,7 +13,7 @@
 ``near_duplicates`` returns for each row of the input its id, ``class_id`` (the smallest id of its component), ``rep_id`` (the smallest
 id with the same text) and ``n_links`` (other distinct texts at or above the threshold). Words are separated by ASCII white space and
 compared unchanged; a text of one to four words has one shingle; a text without words (null, empty, blank) has none and links to nothing
-but equal texts (null counts as empty). Null ids count as the smallest long. Repeated rows each return a row.
+but equal texts (null counts as empty). A null id counts as a number below -2**62 made from the text (``node_id``). Repeated rows each return a row.
 """
 from __future__ import annotations
 
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm import common as C
@@ -158,10 +158,15 @@ def components(edges: DataFrame, a: str = "rep", b: str = "root") -> DataFrame:
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
+def node_id(doc_id: Column, key_text: Column) -> Column:
+    """The id as a long; without one, a number below -2**62 made from the text, so that null ids of different texts stay apart."""
+    return F.coalesce(doc_id.cast("long"), F.lit(-(1 << 62)) - key_text.bitwiseAND(F.lit((1 << 62) - 1)))
+
+
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, key_id, key_text, digest, text): keyed rows with a digest that names the text."""
     d = C.keyed(docs, id_col, text_col)
-    return d.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
+    return d.withColumn("key_id", node_id(F.col("doc_id"), F.col("key_text"))).withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, recall: float = RECALL,
@@ -199,6 +204,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their class; of rows with that id, one stays."""
     stay = near_duplicates(docs, id_col, text_col, threshold).filter("rep_id = class_id").select(F.col("class_id").alias("__id")).distinct()
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(C.NULL_ID))
+    key = node_id(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
     kept = docs.select(F.struct(*docs.columns).alias("row"), key.alias("__id")).join(stay, "__id", "left_semi")
     return kept.dropDuplicates(["__id"]).select("row.*")

@@ -185,6 +185,15 @@ def test_near_duplicates_of_a_large_group(spark, monkeypatch):
     assert {x.doc_id: (x.rep_id, x.class_id, x.n_links) for x in got.collect()} == want
 
 
+def test_null_ids_of_different_texts_all_stay(spark):
+    texts = [sentence(700 + i, 60) for i in range(5)]
+    near = texts[0] + " one more"
+    rows = [(None, t) for t in texts] + [(None, texts[4]), (None, near), (7, sentence(800, 60)), (8, texts[1])]
+    kept = [(r.doc_id, r.text) for r in jaccard.keep_one(frame(spark, rows)).collect()]
+    assert len(kept) == 6 and all(d is None for d, t in kept if t in texts) and (7, rows[7][1]) in kept
+    assert {t for _, t in kept} - {texts[0], near} == {*texts[1:], rows[7][1]}
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (101, 102)], "rep long, root long")
     got = {x.node: x.label for x in jaccard.components(chain).collect()}
