@@ -2,10 +2,13 @@
 
 1. Pages are parsed once in an Arrow-batched function. Every container (element that directly holds text blocks) has a generalised path:
    tags with their classes, digits replaced, from the root. A container's score is its text outside links, by length and number of blocks.
-2. Each page votes for the path of its best container (and containers of the same path add up); votes are summed by host and path in
-   Spark, and each host's path with the most votes wins (ties: the larger text, then the path). Hot hosts are partial sums.
-3. Pages are extracted again from every element on the host's winning path. A page without that path uses its own best container,
-   and a page without any container gives its whole body.
+   The best container is lifted to the ancestor that holds the article's other parts (``lift``: title, lead, sections in containers of their
+   own), by scores summed over all that lies below each ancestor.
+2. Each page votes for the path of its best region; votes are summed by host and path in Spark, and each host's path with the most votes
+   wins (ties: the larger text, then the path). Hot hosts are partial sums.
+3. Pages are extracted again from every element on the host's winning path. A page uses its own best region where that lies above the
+   winning path, where the winning path has no blocks or (another template of the host) less than half of its score. A page without any
+   container gives its whole body.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out wherever they stand, by tag, role
 or class and id words. Character references are decoded, white space inside a block becomes one space, blocks are joined by one space.
@@ -147,28 +150,89 @@ def container(path: str) -> str:
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre blockquote table thead tbody tfoot tr td th caption figure figcaption hr address center".split())
 
 
-def best_container(blocks: list[tuple[str, str, int]]) -> tuple[str, int]:
-    """The path of highest score and its score: characters outside links, with a bonus for each block of some length."""
-    score: dict[str, int] = {}
+def containers(blocks: list[tuple[str, str, int]]) -> dict[str, tuple[int, int]]:
+    """Of each container: characters outside links, with a bonus for each block of some length, less twice the linked ones; and its unlinked h1 blocks."""
+    out: dict[str, tuple[int, int]] = {}
+    place: dict[str, tuple[str, bool]] = {}
     for path, text, linked in blocks:
-        at = container(path)
+        if path not in place:
+            place[path] = container(path), path.rpartition("/")[2].split(".")[0] == "h1"
+        at, title = place[path]
         plain = len(text) - linked
-        own = plain + (25 if plain > 25 else 0) - 2 * linked
-        bonus = 50 if re.search(r"(?:^|/)(?:article|main)(?:[./]|$)", at) else 0
-        score[at] = score.get(at, bonus) + own
-    return min(score.items(), key=lambda x: (-x[1], x[0])) if score else ("", 0)
+        net, titles = out.get(at, (0, 0))
+        out[at] = net + plain + (25 if plain > 25 else 0) - 2 * linked, titles + (title and plain > linked)
+    return out
+
+
+def lift(best: str, own: dict[str, tuple[int, int]]) -> str:
+    """The ancestor of ``best`` (or itself) that holds the article's parts in other containers, too.
+
+    Each ancestor has the summed score of what lies below it. Inside an article any unlinked text is a part. Inside main it is one if the score
+    rises or the missing h1 is found; above both, if that h1 is found or less than half of the score is inside; without either, from a tenth on."""
+    steps = best.split("/")
+    net, text, titles = ([0] * (len(steps) + 1) for _ in range(3))  # by the number of leading steps shared with ``best``
+    for path, (score, h1) in own.items():
+        shared = 0
+        for x, y in zip(steps, path.split("/")):  # noqa: B905
+            if x != y:
+                break
+            shared += 1
+        net[shared] += score
+        text[shared] += max(score, 0)
+        titles[shared] += h1
+    tags = [x.split(".")[0] for x in steps]
+    at, inside, title = len(steps), net[-1], titles[-1]
+    more = part = h1 = 0
+    for d in range(len(steps) - 1, 0, -1):
+        more, part, h1 = more + net[d], part + text[d], h1 + titles[d]
+        if "article" in tags[:d]:
+            up = part > 0
+        elif "main" in tags[:d]:
+            up = more > 0
+        else:
+            up = more > 0 and more >= (inside if "article" in tags or "main" in tags else inside / 10)
+        if up or (h1 and not title):
+            at, inside, title = d, inside + more, title + h1
+            more = part = h1 = 0
+    return "/".join(steps[:at])
+
+
+def below(own: dict[str, tuple[int, int]], path: str) -> tuple[int, int]:
+    """The summed score and h1 blocks of the containers on ``path`` and below it."""
+    mine = [v for at, v in own.items() if at == path or at.startswith(path + "/")]
+    return sum(v[0] for v in mine), sum(v[1] for v in mine)
+
+
+def best_region(own: dict[str, tuple[int, int]]) -> str:
+    """The path of the container of highest score, lifted to the ancestor with the article's other parts."""
+    if not own:
+        return ""
+    return lift(min(own, key=lambda at: (-own[at][0] - (50 if re.search(r"(?:^|/)(?:article|main)(?:[./]|$)", at) else 0), at)), own)
+
+
+def best_container(blocks: list[tuple[str, str, int]]) -> tuple[str, int]:
+    """The path of the page's best region and its summed score."""
+    own = containers(blocks)
+    path = best_region(own)
+    return path, below(own, path)[0]
 
 
 def extract(html: str, path: str | None) -> str:
-    """The text on ``path`` and below it; without such blocks, on the page's own best path, else of the whole page."""
+    """The text on ``path`` and below it, or on the page's own best path: if that is above ``path``, or elsewhere and has more than twice its
+    score (``path`` is of another template; not if the h1 is on ``path`` only), or ``path`` has no blocks. Without any container, the whole page."""
     blocks = page_blocks(html)
 
     def on(p: str) -> list[str]:
         return [t for at, t, _ in blocks if at == p or at.startswith(p + "/")]
+    own = containers(blocks)
+    best = best_region(own)
     found = on(path) if path else []
+    if found and not f"{best}/".startswith(f"{path}/"):
+        (here, title), (there, other) = below(own, path), below(own, best)
+        if path.startswith(best + "/") or (2 * here < there and not (title and not other)):
+            found = []
     if not found:
-        own = best_container(blocks)[0]
-        found = on(own) if own else [t for _, t, _ in blocks]
+        found = on(best) if best else [t for _, t, _ in blocks]
     return " ".join(found)
 
 

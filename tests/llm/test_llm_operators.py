@@ -335,6 +335,32 @@ def test_html_extraction(spark):
     assert html.extract_pages(pages.limit(0)).count() == 0
 
 
+def long_text(n: int, seed: int = 0) -> str:
+    return (sentence(40 + seed, n) + ".")[:n].strip()
+
+
+def test_html_parts_in_other_containers(spark):
+    """Title, lead and sections in containers of their own; scraps around an article stay out."""
+    lead, intro, body, more = long_text(200), long_text(300, 1), long_text(1000, 2), long_text(400, 3)
+    shell = "<html><body><div>Call us</div>{}<div class=x1>&copy; Firm, Street 1, all rights reserved</div><div><a href=/a>another page of this site</a></div></body></html>"
+    inner = {
+        "a.org": f"<article><h1>Title one</h1><p>{lead}</p><section><p>{body}</p></section></article>",
+        "b.org": f"<article><h1>Title one</h1><div class=intro>{lead}</div><div class=body>{body}</div><div class=tags><a href=/t>{intro}</a></div></article>",
+        "c.org": f"<div class=post><h1>Title one</h1><div class=intro>{lead}</div><div class=body>{body}</div></div>",
+        "d.org": f"<main><h1>Title one</h1><p>{lead}</p><article><section><p>{body}</p></section></article></main>"}
+    want = {h: f"Title one {lead} {body}" for h in inner} | {"b.org": f"Title one {lead} {body} {intro}"}
+    # two templates: the minority has a sliver on the majority's path; and pages with a part that the others lack
+    major = f"<div class=content><p>{body}</p></div>"
+    minor = f"<div class=content><p>{lead[:40]}</p></div><div class=story><h2>Head</h2><div><p>{body}</p></div><div class=b><p>{more}</p></div></div>"
+    rows = [(h, x) for h, x in inner.items()] + [("e.org", major)] * 3 + [("e.org", minor)]
+    rows += [("f.org", f"<article><section><p>{body}</p></section></article>")] * 3 + [("f.org", inner["a.org"])]
+    want = [want[h] for h in inner] + [body] * 3 + [f"Head {body} {more}"] + [body] * 3 + [f"Title one {lead} {body}"]
+    pages = spark.createDataFrame([(i, f"http://{h}/{i}", shell.format(x)) for i, (h, x) in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract_pages(pages).collect()}
+    for i, text in enumerate(want):
+        assert got[i] == text, (i, rows[i][0])
+
+
 def test_sharding(spark, rows):
     more = rows + EXTRA
     got = sharding.shard(frame(spark, more)).collect()
