@@ -4,16 +4,19 @@ Everything on the main path is a DataFrame expression.
 
 * Base kinds ``assign``, ``access`` and ``hex`` are leftmost non-overlapping pattern matches; a span is the whole match in code
   points, end exclusive. Positions come from the pieces between matches (``split`` and ``regexp_extract_all`` by one pattern).
-* Models. Labelled samples are (text, random) rows. Two first-order character models over ASCII are counted in Spark:
-  random strings (uniform prior) and ordinary identifiers (flat prior). ``fit`` collects at most 128 x 128 counts of each.
-* Kind ``markov``: each run of 20 or more token characters with letters and digits, or capitals inside, whose summed log-likelihood ratio is at
-  least ``THRESHOLD`` nats is a secret. These spans are added; base spans stay, and the two may overlap.
-
-``corpus_samples`` labels every document's own strings: values of base spans as random, the first long word of each document
-as ordinary. No row is left out.
-
-Null text counts as empty: no spans. Repeated rows each return a row. With no samples the priors decide. Extra columns are
-ignored by ``scan`` and kept by ``redact``.
+* Models. Labelled samples are (text, random) rows; each different string counts once, so copies of rows change nothing. Two first-order
+  character models over ASCII are counted in Spark, random strings and ordinary tokens. ``fit`` collects at most 128 x 128 counts of each and
+  mixes them with priors in proportion: half of the random model is uniform; the ordinary model gives ``PRIOR_ROWS`` of its pairs, and a twentieth
+  at least, to a prior (a quarter the same character again, the rest uniform). So no ratio grows without end as rows are added.
+* Kind ``markov``: each run of 20 or more token characters with letters and digits, or capitals inside, whose summed log-likelihood ratio is at least ``THRESHOLD`` nats is a secret.
+  These spans are added; base spans stay, and the two may overlap. Shorter runs are not scored.
+
+``corpus_samples`` labels every document's own strings: values of base spans as random, and as ordinary all runs of two or more token
+characters that touch no base span. Runs long enough to be scored may be secrets themselves: a model of the others is fitted first, and those
+that it holds for random are in neither class. No row is left out.
+
+Null text counts as empty: no spans. Repeated rows each return a row. A first character that neither class has seen decides nothing, so
+without samples no ``markov`` span is found. Extra columns are ignored by ``scan`` and kept by ``redact``.
 """
 from __future__ import annotations
 
@@ -27,11 +30,16 @@ from parley.llm.common import let
 ASSIGN = r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}+"
 HEX = r"[0-9a-f]{32,}+"
+CANDIDATE_CHARS = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}+"
-IDENTIFIER = r"[A-Za-z_]{10,}+"
+CUT = "\ue000"  # stands for base spans while tokens are read
+TOKEN = rf"(?<![{CUT}A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{2,}}+(?!{CUT})"
 KINDS = ["assign", "access", "hex", "markov"]
 RANDOM_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 THRESHOLD = 6.9  # odds of about 1000 : 1
+PRIOR_SHARE = 0.05
+PRIOR_ROWS = 5
+SAME = 0.25
 SIZE = 128
 BLOCK = 256
 NO_SPANS = "array<struct<start:int,kind_no:int,end:int,match:string>>"
@@ -73,31 +81,55 @@ def base_spans(text: Column) -> Column:
     return F.concat(assign, regex_spans(text, ACCESS, 1), regex_spans(text, HEX, 2))
 
 
+def replace_spans(text: Column, spans: Column, mark: str) -> Column:
+    """``text`` with each of ``spans`` (by start) replaced by ``mark``, overlapping ones by one."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        piece = F.substring(text, s["at"] + 1, F.greatest(x["start"] - s["at"], F.lit(0)))
+        return F.when(x["start"] < s["at"], F.struct(F.greatest(s["at"], x["end"]).alias("at"), s["out"].alias("out"))).otherwise(
+            F.struct(x["end"].alias("at"), F.array_append(s["out"], piece).alias("out")))
+    return F.when(F.size(spans) == 0, text).otherwise(let(
+        F.aggregate(spans, start, step), lambda s: F.array_join(F.array_append(s["out"], F.substring(text, s["at"] + 1, F.length(text))), mark)))
+
+
 def corpus_samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(text, random): values of base spans as random strings, the first long word of each text as an ordinary identifier."""
+    """(text, random), each once: values of base spans as random strings, the other tokens of all texts as ordinary ones."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    secret = F.transform(base_spans(text), lambda s: F.struct(
-        F.when(s["kind_no"] == 0, assign_value(s["match"])).otherwise(s["match"]).alias("text"), F.lit(True).alias("random")))
-    plain = F.array(F.struct(F.regexp_extract(text, IDENTIFIER, 0).alias("text"), F.lit(False).alias("random")))
-    return docs.select(F.explode(F.concat(secret, plain)).alias("s")).select("s.*").filter("text <> ''")
+
+    def strings(spans: Column) -> Column:
+        secret = F.transform(spans, lambda s: F.concat(F.lit(CUT), F.when(s["kind_no"] == 0, assign_value(s["match"])).otherwise(s["match"])))
+        rest = F.when(F.size(spans) == 0, text).otherwise(let(F.translate(text, CUT, " "), lambda t: replace_spans(t, spans, CUT)))
+        return F.concat(secret, F.regexp_extract_all(rest, F.lit(TOKEN), F.lit(0)))
+    found = docs.select(F.explode(let(F.array_sort(base_spans(text)), strings)).alias("s")).distinct()
+    samples = found.select(F.translate("s", CUT, "").alias("text"), F.col("s").startswith(CUT).alias("random")).checkpoint()
+    sure = F.col("random") | (F.length("text") < CANDIDATE_CHARS)
+    first = fit(samples.filter(sure))
+    return samples.filter(F.when(sure, True).otherwise(log_ratio(F.col("text"), first) < THRESHOLD))
 
 
 def fit(samples: DataFrame, alpha: float = 0.5) -> list[float]:
-    """Log-likelihood ratios random : ordinary of each character pair, at index 128 * first + second."""
+    """Log-likelihood ratios random : ordinary of each character pair, at index 128 * first + second; ``alpha`` is the uniform share of random."""
     codes = let(F.transform(F.split(F.col("text"), ""), lambda c: F.ascii(c)), lambda a: F.transform(
         F.sequence(F.lit(1), F.size(a) - 1), lambda i: F.struct(F.element_at(a, i).alias("x"), F.element_at(a, i + 1).alias("y"))))
-    pairs = (samples.filter(F.length("text") > 1).select("random", F.explode(codes).alias("p")).select("random", "p.*")
+    pairs = (samples.filter(F.length("text") > 1).select("random", "text").distinct().select("random", F.explode(codes).alias("p")).select("random", "p.*")
              .filter((F.col("x") < SIZE) & (F.col("y") < SIZE)).groupBy("random", "x", "y").count())
     counts = {(r["random"], r["x"], r["y"]): r["count"] for r in pairs.collect()}  # at most 2 x 128 x 128 rows
     letters = {ord(c) for c in RANDOM_ALPHABET}
-    prior = {True: [alpha if y in letters else alpha / SIZE for y in range(SIZE)], False: [alpha] * SIZE}
+    weight = [1.0 if y in letters else 1 / SIZE for y in range(SIZE)]
+    uniform = [w / sum(weight) for w in weight]
 
-    def logs(label: bool, x: int) -> list[float]:
-        row = [counts.get((label, x, y), 0) + prior[label][y] for y in range(SIZE)]
-        total = sum(row)
-        return [math.log(v / total) for v in row]
+    def ratios(x: int) -> list[float]:
+        rand, plain = ([counts.get((label, x, y), 0) for y in range(SIZE)] for label in (True, False))
+        n_rand, n_plain = sum(rand), sum(plain)
+        if not n_rand and not n_plain:
+            return [0.0] * SIZE
+        own = alpha if n_rand else 1.0
+        share = max(PRIOR_SHARE, PRIOR_ROWS / (PRIOR_ROWS + n_plain))
+        return [math.log((1 - own) * rand[y] / max(n_rand, 1) + own * uniform[y])
+                - math.log((1 - share) * plain[y] / max(n_plain, 1) + share * (SAME * (x == y) + (1 - SAME) * uniform[y])) for y in range(SIZE)]
 
-    return [a - b for x in range(SIZE) for a, b in zip(logs(True, x), logs(False, x), strict=True)]
+    return [v for x in range(SIZE) for v in ratios(x)]
 
 
 def log_ratio(token: Column, model: list[float]) -> Column:
@@ -137,12 +169,5 @@ def scan(docs: DataFrame, model: list[float], id_col: str = "doc_id", text_col:
 def redact(docs: DataFrame, model: list[float], text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of ``text_col`` replaced by ``mark`` (overlapping spans by one); null text stays null."""
     def cut(t: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-        def step(s: Column, x: Column) -> Column:
-            piece = F.substring(t, s["at"] + 1, F.greatest(x["start"] - s["at"], F.lit(0)))
-            return F.when(x["start"] < s["at"], F.struct(F.greatest(s["at"], x["end"]).alias("at"), s["out"].alias("out"))).otherwise(
-                F.struct(x["end"].alias("at"), F.array_append(s["out"], piece).alias("out")))
-        return let(all_spans(t, model), lambda a: F.when(F.size(a) == 0, t).otherwise(let(
-            F.aggregate(a, start, step), lambda s: F.array_join(F.array_append(s["out"], F.substring(t, s["at"] + 1, F.length(t))), mark))))
+        return let(all_spans(t, model), lambda a: replace_spans(t, a, mark))
     return docs.withColumn(text_col, F.when(F.col(text_col).isNotNull(), let(F.col(text_col), cut)))

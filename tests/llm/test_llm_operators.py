@@ -83,6 +83,35 @@ def test_markov_model_tells_random_from_ordinary(spark):
     assert len(secrets.fit(samples.limit(0))) == 128 * 128
 
 
+def test_secret_samples_are_all_tokens_outside_base_spans(spark):
+    docs = spark.createDataFrame([(1, "page-12 of a/b c password=hunter2hunter2 x-0123456789abcdef0123456789abcdef-y \ue000tail"), (2, "page-12 token=short"), (3, None)],
+                                 "doc_id long, text string")
+    got = {(r.text, r.random) for r in secrets.corpus_samples(docs).collect()}
+    plain = {x for x, random_ in got if not random_}
+    assert plain == {"page-12", "of", "a/b", "tail", "token=short"}
+    assert {x for x, random_ in got if random_} == {"hunter2hunter2", "0123456789abcdef0123456789abcdef"}
+
+
+SYLLABLES = "the ing tion er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce".split()
+
+
+def prose(seed: int, n: int) -> str:
+    r = random.Random(seed)
+    words = ["".join(r.choice(SYLLABLES) for _ in range(r.randint(1, 5))) for _ in range(n)]
+    return " ".join(w.capitalize() if i % 9 == 0 else w for i, w in enumerate(words))
+
+
+def test_repeated_rows_do_not_change_the_secrets(spark):
+    names = "getUserAccountDetailsById2"
+    rows = [(i, prose(i, 60) + (f" api_key={sentence(i, 1)}0123456789abcdef{i:04d}" if i % 10 == 0 else "")) for i in range(60)] + [(99, f"see {names} and {'-' * 40} or {'=' * 30}")]
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    many = spark.createDataFrame(rows * 30, "doc_id long, text string")
+    a, b = (secrets.fit(secrets.corpus_samples(d)) for d in (once, many))
+    assert a == b
+    got = {r.doc_id: r for r in secrets.scan(once, a).collect()}
+    assert got[99].n_markov == 0
+
+
 def test_redact_keeps_rows_and_columns(spark, rows):
     docs = frame(spark, rows + EXTRA)
     model = secrets.fit(secrets.corpus_samples(docs))
