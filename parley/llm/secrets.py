@@ -8,8 +8,8 @@ Everything on the main path is a DataFrame expression.
   character models over ASCII are counted in Spark, random strings and ordinary tokens. ``fit`` collects at most 128 x 128 counts of each and
   mixes them with priors in proportion: half of the random model is uniform; the ordinary model gives ``PRIOR_ROWS`` of its pairs, and a twentieth
   at least, to a prior (a quarter the same character again, the rest uniform). So no ratio grows without end as rows are added.
-* Kind ``markov``: each run of 20 or more token characters with letters and digits, or capitals inside, whose summed log-likelihood ratio is at least ``THRESHOLD`` nats is a secret.
-  These spans are added; base spans stay, and the two may overlap. Shorter runs are not scored.
+* Kind ``markov``: each run of 20 or more token characters whose summed log-likelihood ratio is at least ``THRESHOLD`` nats is a secret.
+  These spans are added; base spans stay, and the two may overlap. The ratio alone decides; shorter runs are not scored.
 
 ``corpus_samples`` labels every document's own strings: values of base spans as random, and as ordinary all runs of two or more token
 characters that touch no base span. Runs long enough to be scored may be secrets themselves: a model of the others is fitted first, and those
@@ -142,8 +142,7 @@ def log_ratio(token: Column, model: list[float]) -> Column:
 
 def all_spans(text: Column, model: list[float]) -> Column:
     """Base and model spans by start, then kind in the order of KINDS."""
-    added = F.filter(regex_spans(text, CANDIDATE, 3), lambda s: s["match"].rlike("[A-Za-z].*[0-9]|[0-9].*[A-Za-z]|[a-z][A-Z]")
-                     & (log_ratio(s["match"], model) >= THRESHOLD))
+    added = F.filter(regex_spans(text, CANDIDATE, 3), lambda s: log_ratio(s["match"], model) >= THRESHOLD)
     return F.array_sort(F.concat(base_spans(text), added))
 
 

@@ -112,6 +112,20 @@ def test_repeated_rows_do_not_change_the_secrets(spark):
     assert got[99].n_markov == 0
 
 
+def test_random_strings_of_one_case_are_found(spark):
+    """The ratio alone decides: no capital, digit or other mark is asked for; and the strings under test do not teach the ordinary class."""
+    r = random.Random(6)
+    rows, n = [], 24
+    for i in range(160):
+        kind = "abcdefghijklmnopqrstuvwxyz" if i % 4 == 1 else "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        secret = "".join(r.choice(kind) for _ in range(n)) if i % 2 else prose(i, 40).replace(" ", "")[:n].lower()
+        rows.append((i, f"{prose(1000 + i, 60)} {secret} {prose(2000 + i, 20)}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.n_markov for x in secrets.scan(docs, secrets.fit(secrets.corpus_samples(docs))).collect()}
+    assert sum(got[i] > 0 for i in range(160) if i % 2) >= 76
+    assert sum(got[i] > 0 for i in range(160) if i % 2 == 0) == 0
+
+
 def test_redact_keeps_rows_and_columns(spark, rows):
     docs = frame(spark, rows + EXTRA)
     model = secrets.fit(secrets.corpus_samples(docs))
