@@ -14,6 +14,7 @@
 id with the same text) and ``n_links`` (other distinct texts at or above the threshold). Words are separated by ASCII white space and
 compared unchanged; a text of one to four words has one shingle; a text without words (null, empty, blank) has none and links to nothing
 but equal texts (null counts as empty). A null id counts as a number below -2**62 made from the text (``node_id``). Repeated rows each return a row.
+Links and components run over (smallest id, text hash), so different texts of one id are different documents.
 """
 from __future__ import annotations
 
@@ -125,7 +126,7 @@ def _compare(threshold: float):
         block = group["block"].to_numpy()
         if i != j:
             links &= block[:, None] != block[None, :]
-        rep = group["rep"].to_numpy()
+        rep, key = group["rep"].to_numpy(), group["key_text"].to_numpy()
         label = np.arange(len(rep))
         while True:  # smallest linked position, until nothing moves
             near = np.where(links, label[None, :], len(rep)).min(1)
@@ -135,7 +136,7 @@ def _compare(threshold: float):
                 break
             label = new
         n = links.sum(1)
-        return pd.DataFrame({"rep": rep, "root": rep[label], "n": n})[n > 0]
+        return pd.DataFrame({"rep": rep, "key_text": key, "root": rep[label], "root_key": key[label], "n": n})[n > 0]
     return run
 
 
@@ -169,9 +170,9 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return d.withColumn("key_id", node_id(F.col("doc_id"), F.col("key_text"))).withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, recall: float = RECALL,
-                    rows: int = ROWS) -> DataFrame:
-    """doc_id, rep_id, class_id, n_copies, n_links of each row of ``docs``."""
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, recall: float = RECALL,
+            rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, digest and keys), and of each different text: digest, node, root (its class's smallest node), n_copies, n_links."""
     bands = bands_for(threshold, recall, rows)
     d = representatives(docs, id_col, text_col)
     members = d.select("doc_id", "key_id", "key_text", "digest", F.octet_length("text").alias("bytes"))
@@ -193,17 +194,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     asked = asked.join(signed.select(*node, "bands"), node)
     texts = d.select(F.col("key_id").alias("rep"), "key_text", "text")
     found = (texts.join(asked, node).groupBy("band", "hash", "i", "j")
-             .applyInPandas(_compare(threshold), "rep long, root long, n long").checkpoint())
-    links = found.groupBy("rep").agg(F.sum("n").alias("n_links"))
-    labels = components(found)
-    out = (reps.join(links, "rep", "left").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-           .select("digest", F.col("rep").alias("rep_id"), F.coalesce("label", "rep").alias("class_id"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links")))
+             .applyInPandas(_compare(threshold), "rep long, key_text long, root long, root_key long, n long").checkpoint())
+    links = found.groupBy(*node).agg(F.sum("n").alias("n_links"))
+    labels = components(found.select(F.struct(*node).alias("a"), F.struct(F.col("root").alias("rep"), F.col("root_key").alias("key_text")).alias("b")), "a", "b")
+    out = (reps.join(links, node, "left").withColumn("node", F.struct(*node)).join(labels, "node", "left")
+           .select("digest", "node", F.coalesce("label", "node").alias("root"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    return members, out
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, recall: float = RECALL,
+                    rows: int = ROWS) -> DataFrame:
+    """doc_id, rep_id, class_id, n_copies, n_links of each row of ``docs``."""
+    members, out = classes(docs, id_col, text_col, threshold, recall, rows)
+    out = out.select("digest", F.col("node.rep").alias("rep_id"), F.col("root.rep").alias("class_id"), "n_copies", "n_links")
     return members.select("doc_id", "digest").join(out, "digest").drop("digest")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their class; of rows with that id, one stays."""
-    stay = near_duplicates(docs, id_col, text_col, threshold).filter("rep_id = class_id").select(F.col("class_id").alias("__id")).distinct()
-    key = node_id(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    kept = docs.select(F.struct(*docs.columns).alias("row"), key.alias("__id")).join(stay, "__id", "left_semi")
-    return kept.dropDuplicates(["__id"]).select("row.*")
+    """Of each class, one row of its smallest (id, text); rows of one id with texts of different classes all stay."""
+    _, out = classes(docs, id_col, text_col, threshold)
+    stay = out.filter("node = root").select(F.col("node.rep").alias("__id"), F.col("node.key_text").alias("__text"))
+    text = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), node_id(F.col(id_col), text).alias("__id"), text.alias("__text"))
+    return rows.join(stay, ["__id", "__text"], "left_semi").dropDuplicates(["__id", "__text"]).select("row.*")

@@ -237,6 +237,16 @@ def test_null_ids_of_different_texts_all_stay(spark):
     assert {t for _, t in kept} - {texts[0], near} == {*texts[1:], rows[7][1]}
 
 
+def test_one_id_on_different_texts(spark):
+    """Texts of one id are no class: those that are no near copies all stay, equal rows and near copies as one."""
+    texts = [sentence(900 + i, 60) for i in range(6)]
+    rows = [(0, t) for t in texts] + [(0, texts[3]), (0, texts[0] + " one more"), (4, texts[1] + " one more"), (4, sentence(950, 60))]
+    kept = [(r.doc_id, r.text) for r in jaccard.keep_one(frame(spark, rows)).collect()]
+    assert len(kept) == 7 and {t for d, t in kept if d == 0} - {texts[0], rows[7][1]} == set(texts[1:]) and (4, rows[9][1]) in kept
+    got = {(r.doc_id, r.n_links) for r in jaccard.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {(0, 0), (0, 1), (4, 1), (4, 0)}
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (101, 102)], "rep long, root long")
     got = {x.node: x.label for x in jaccard.components(chain).collect()}
