@@ -2,8 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of ``documents``. ``run`` writes each stage's
 rows as Parquet into the shared folder of ``spark.checkpoint.dir`` and reads them for the next. Decisions: rows that fail the quality rules go;
-one row of each class of near copies (the smallest id) stays; rows holding a benchmark window go; secrets are replaced by ``[SECRET]`` and ``n_chars``
-follows; what is left is encoded and decoded.
+one row of each class of near copies (the smallest id and text hash) stays; rows holding a benchmark window go; secrets are replaced by ``[SECRET]`` and ``n_chars``
+follows; what is left is encoded and decoded, and the last stage's rows hold the token ids beside the digests.
 """
 from __future__ import annotations
 
@@ -44,7 +44,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _ready(spark)
     ranks, pattern = bpe.public_vocabulary()
-    return bpe.encode_decode(docs, ranks, pattern, with_ids=False)
+    return bpe.encode_decode(docs, ranks, pattern, with_decoded=False)
 
 
 STAGES = [("quality_rules", quality_rules), ("ngram_jaccard", ngram_jaccard), ("decontamination", benchmark_decontamination),

@@ -243,11 +243,13 @@ def shared_codec(ranks_of: Callable[[], dict[bytes, int]], key: int, pattern: st
     return _codecs[key, pattern]
 
 
-def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 and, with ``with_ids``, ids and decoded of each row of ``docs``."""
+def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True,
+                  with_decoded: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and, with ``with_ids``, ids and (``with_decoded``) decoded of each row of ``docs``."""
+    with_decoded = with_ids and with_decoded
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids)
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids + ", decoded string" * with_decoded)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = shared_codec(lambda: sent.value, len(sent.value), pattern)
         number = {i: str(i) for i in codec.transducer.token}
@@ -259,10 +261,10 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col
                 listed.update(",".join(map(number.__getitem__, ids)).encode())
                 for part in codec.decode(ids):
                     decoded.update(part.encode())
-                    if with_ids:
+                    if with_decoded:
                         back.append(part)
-                rows.append((len(ids), listed.hexdigest(), decoded.hexdigest(), *([ids, "".join(back)] if with_ids else [])))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][:5 if with_ids else 3])
+                rows.append((len(ids), listed.hexdigest(), decoded.hexdigest(), *([ids] * with_ids), *(["".join(back)] * with_decoded)))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][:3 + with_ids + with_decoded])
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).alias("doc_id"), run(text).alias("r")).select("doc_id", "r.*")

@@ -276,6 +276,16 @@ def test_bpe_equals_the_library(spark, rows):
         assert transducer.encode(piece) == library._encode_single_piece(piece)
 
 
+def test_pipeline_returns_token_ids(spark, rows):
+    import corpus_pipeline
+    ranks, pattern = bpe.public_vocabulary()
+    got = corpus_pipeline.STAGES[-1][1](spark, frame(spark, rows), "")
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    want = {r.doc_id: r.ids for r in bpe.encode_decode(frame(spark, rows), ranks, pattern).collect()}
+    assert {r.doc_id: r.ids for r in got.collect()} == want
+    assert all(r.n_tokens == len(r.ids) and r.ids_sha256 == brute.sha(",".join(map(str, r.ids))) for r in got.collect())
+
+
 def test_transducer_tables_are_dropped(monkeypatch):
     ranks, _ = bpe.public_vocabulary()
     t = bpe.Transducer(ranks)
