@@ -44,3 +44,76 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> newest THEN newest END AS refers_to
 FROM q"""
+
+_HASHED = r"CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0} END"
+_ROW = " || ".join(_HASHED.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CRC = """xor(list_reduce(flatten([[ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] for c in string_split(doc_id::VARCHAR, '')]),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, 4294967295::BIGINT), 4294967295)"""
+
+
+def _tree(name: str, levels: int) -> str:
+    """CTEs of a tree over ``name``0 (t, n, r, h): nodes ``name``j and runs ``name``_run_j of each level."""
+    return ",".join(f"""
+{name}{j} AS (SELECT t, n, r // 16 AS r, sha256(string_agg(h, '' ORDER BY r)) AS h FROM {name}{j - 1} WHERE n > {16 ** (j - 1)} GROUP BY t, n, r // 16),
+{name}_run_{j} AS (SELECT t, r // 16 AS g, list(h ORDER BY r) AS run FROM {name}{j - 1} WHERE n > {16 ** (j - 1)} GROUP BY t, r // 16)"""
+                    for j in range(1, levels + 1)) + f""",
+{name}_top AS ({" UNION ALL ".join(f"SELECT t, h FROM {name}{j} WHERE n <= {16 ** j} AND n > {16 ** (j - 1) if j else 0}" for j in range(levels + 1))})"""
+
+
+def _step(prev: str, name: str, tree: str, rank: str, level: int, run: str) -> str:
+    """A CTE that folds one level into the proof and the root of ``prev``."""
+    at = f"({rank} // {16 ** (level - 1)}) % 16"
+    left, right = f"array_to_string(run[1:{at}], '')", f"array_to_string(run[{at} + 2:], '')"
+    return f"""
+{name} AS (SELECT p.* EXCLUDE (proof, f), proof || coalesce({left} || {right}, '') AS proof,
+  CASE WHEN run IS NULL THEN f ELSE sha256({left} || f || {right}) END AS f
+  FROM {prev} p LEFT JOIN {run} q ON q.t = {tree} AND q.g = {rank} // {16 ** level})"""
+
+
+def _merkle(levels: int = 6) -> str:
+    steps, prev = [], "f0"
+    for k, (tree, rank, runs) in enumerate((("p.t", "p.r", "d"), ("0", "p.t", "s"))):
+        for j in range(1, levels + 1):
+            name = f"f{k * levels + j}"
+            steps.append(_step(prev, name, tree, rank, j, f"{runs}_run_{j}"))
+            prev = name
+    return f"""
+WITH l AS (SELECT doc_id, source, sha256({_ROW} || {_HASHED.format("text")}) AS leaf,
+  CASE WHEN {_CRC} % 5 = 0 THEN sha256({_ROW} || {_HASHED.format(_LOWERED)}) END AS bad FROM documents),
+g AS (SELECT source, count(*) AS n, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS t FROM l GROUP BY source),
+x AS (SELECT l.*, g.t, g.n, row_number() OVER (PARTITION BY g.t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r
+      FROM l JOIN g ON l.source IS NOT DISTINCT FROM g.source),
+d0 AS (SELECT t, n, r, leaf AS h FROM x),{_tree("d", levels)},
+s0 AS (SELECT 0 AS t, (SELECT count(*) FROM g) AS n, t AS r, h FROM d_top),{_tree("s", levels)},
+f0 AS (SELECT doc_id, leaf, t, r, '' AS proof, coalesce(bad, leaf) AS f FROM x),{",".join(steps)}
+SELECT doc_id, leaf, d_top.h AS subroot, s_top.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = s_top.h AS verified
+FROM {prev} p JOIN d_top ON d_top.t = p.t, s_top"""
+
+
+SQL["op11_merkle"] = _merkle()
+
+
+def _collocations(sizes: int = 5, threshold: int = 100, top: int = 2000) -> str:
+    grams = " UNION ALL ".join(f"SELECT lang, {m} AS size, array_to_string(w[i:i + {m - 1}], ' ') AS phrase FROM "
+                               f"(SELECT lang, w, unnest(range(1, len(w) - {m - 2})) AS i FROM p WHERE len(w) >= {m})" for m in range(1, sizes + 1))
+    return rf"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, [x for x in string_split_regex(piece, '[\x20\x09]+') if x <> ''] AS w FROM t),
+total AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM p GROUP BY lang),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM ({grams}) GROUP BY ALL HAVING count(*) >= {threshold}),
+c AS (SELECT lang, phrase, f AS a, size, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+k AS (SELECT *, unnest(range(1, size)) AS k FROM c),
+cut AS (SELECT k.lang, k.phrase, a, k, x.f AS l, y.f AS r, n, (1000 * a::HUGEINT * n) // (x.f::HUGEINT * y.f) AS score FROM k
+        JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(w[1:k], ' ') JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+        JOIN total ON total.lang = k.lang),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+sub AS (SELECT lang, a, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM (SELECT lang, a, w, unnest(range(2, size)) AS m FROM c WHERE size > 2)),
+inside AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM sub GROUP BY ALL),
+left_over AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM left_over QUALIFY rank <= {top}"""
+
+
+SQL["op12_collocations"] = _collocations()

@@ -6,7 +6,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, decontaminate, html, jaccard, lm, quality, secrets, sharding, substring, warc
+from parley.llm import bpe, collocations, decontaminate, html, jaccard, langid, lm, merkle, quality, secrets, sharding, substring, warc
 from parley.llm.common import bound_batches, table
 from parley.llm.oracle import SQL
 
@@ -55,13 +55,25 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = [op1_secret_scan, op2_substring_dedup, op3_decontaminate, op4_quality_rules, op5_ngram_jaccard, op6_bpe, op7_lm_score,
-           op8_html_extract, op9_shard, op10_warc, pipeline]
+           op8_html_extract, op9_shard, op10_warc, op11_merkle, op12_collocations, op13_language_id, pipeline]
 
 
 def _bounded(f):
