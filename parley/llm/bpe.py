@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.llm import common as C
+
 MAX_TABLE = 2_000_000
 MAX_PIECES = 500_000
 MAX_PIECE_BYTES = 64
@@ -233,14 +235,12 @@ class Codec:
         return decode_stream(self.transducer.token, ids)
 
 
-_codecs: dict[tuple[int, str], Codec] = {}
-
-
 def shared_codec(ranks_of: Callable[[], dict[bytes, int]], key: int, pattern: str) -> Codec:
     """One codec in each Python worker."""
-    if (key, pattern) not in _codecs:
-        _codecs[key, pattern] = Codec(ranks_of(), pattern)
-    return _codecs[key, pattern]
+    codecs = C.worker_tables("bpe")
+    if (key, pattern) not in codecs:
+        codecs[key, pattern] = Codec(ranks_of(), pattern)
+    return codecs[key, pattern]
 
 
 def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True,

@@ -64,7 +64,20 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+KEPT_POWERS = 1 << 21
 _powers: dict[int, np.ndarray] = {}
+_kept: dict = {}
+_keeper: list[str] = [""]
+
+
+def worker_tables(operator: str) -> dict:
+    """What ``operator`` keeps in this Python worker from one task to the next. Workers are reused by later stages: the tables of another
+    operator are dropped when this one's first task starts."""
+    if _keeper[0] != operator:
+        _kept.clear()
+        _powers.clear()
+        _keeper[0] = operator
+    return _kept
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
@@ -75,7 +88,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
         have = np.full(m, base, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        if m <= 1 << 23:
+        if m <= KEPT_POWERS:
             _powers[int(base)] = have
     return have[:n]
 

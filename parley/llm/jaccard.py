@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from parley.llm import common as C
 
@@ -35,6 +36,7 @@ RECALL = 0.9999
 ROWS = 5
 BLOCK_ROWS = 512
 BLOCK_BYTES = 4 << 20
+HASH_BYTES = 1 << 19  # of text hashed at once
 MAX_ROUNDS = 60
 
 
@@ -86,20 +88,33 @@ def band_hashes(texts: pa.Array, bands: int, rows: int = ROWS) -> np.ndarray:
 
 def _signatures(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.worker_tables("jaccard")
         for batch in batches:
-            for part in C.slices(batch, 1):
+            for part in C.slices(batch, 1, HASH_BYTES):
                 sig = band_hashes(part.column(1), bands, rows)
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(0, sig.size + 1, bands, dtype=np.int32)), pa.array(sig.reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column(0), flat], ["digest", "bands"])
     return run
 
 
+def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of each text's different shingles, hashed in pieces of ``HASH_BYTES`` (one text at least)."""
+    hashes, rows, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    for part in C.slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"]), 0, HASH_BYTES):
+        h, row = shingle_hashes(part.column(0))
+        order = np.lexsort((h, row))
+        h, row = h[order], row[order]
+        new = np.append(True, (h[1:] != h[:-1]) | (row[1:] != row[:-1])) if len(h) else np.zeros(0, bool)
+        hashes.append(h[new])
+        rows.append(row[new] + at)
+        at += part.num_rows
+    return np.concatenate(hashes), np.concatenate(rows)
+
+
 def linked(texts: list[str], threshold: float) -> np.ndarray:
     """Boolean matrix of pairs whose shingle sets have Jaccard similarity at or above the threshold."""
     n = len(texts)
-    h, row = shingle_hashes(pa.array(texts, pa.large_string()))
-    key = np.unique(np.stack([row.astype(np.uint64), h], 1), axis=0) if len(h) else np.zeros((0, 2), np.uint64)
-    row, h = key[:, 0].astype(np.int64), key[:, 1]
+    h, row = shingle_sets(texts)
     sizes = np.bincount(row, minlength=n).astype(np.float64)
     _, code, times = np.unique(h, return_inverse=True, return_counts=True)
     shared = np.flatnonzero(times > 1)
@@ -117,6 +132,7 @@ def linked(texts: list[str], threshold: float) -> np.ndarray:
 
 def _compare(threshold: float):
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        C.worker_tables("jaccard")
         group = group.drop_duplicates(["rep", "key_text"]).sort_values(["rep", "key_text"]).reset_index(drop=True)
         band, (i, j) = int(group["band"][0]), (int(group["i"][0]), int(group["j"][0]))
         sig = np.stack([np.asarray(x, np.int64) for x in group["bands"]])
@@ -211,9 +227,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Of each class, one row of its smallest (id, text); rows of one id with texts of different classes all stay."""
+    """Of each class, one row of its smallest (id, text); rows of one id with texts of different classes all stay. Of rows equal in id and
+    text but not in other columns, the one with the smallest hash of all columns (but maps) stays."""
     _, out = classes(docs, id_col, text_col, threshold)
     stay = out.filter("node = root").select(F.col("node.rep").alias("__id"), F.col("node.key_text").alias("__text"))
     text = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     rows = docs.select(F.struct(*docs.columns).alias("row"), node_id(F.col(id_col), text).alias("__id"), text.alias("__text"))
-    return rows.join(stay, ["__id", "__text"], "left_semi").dropDuplicates(["__id", "__text"]).select("row.*")
+    first = F.min_by("row", F.xxhash64(*[F.col("row")[f.name] for f in docs.schema.fields if not isinstance(f.dataType, MapType)]))
+    return rows.join(stay, ["__id", "__text"], "left_semi").groupBy("__id", "__text").agg(first.alias("row")).select("row.*")

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm import common as C
+from parley.session import scratch_path
 
 MIN_WORDS = 50
 MAX_RATE = 0.8
@@ -51,6 +52,7 @@ def text_counts(text: str) -> tuple[int, int, int, int, int]:
 def _counts(text: Column) -> Column:
     @F.pandas_udf("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
     def counts(texts: pd.Series) -> pd.DataFrame:
+        C.worker_tables("quality")
         return pd.DataFrame([text_counts(t) for t in texts], columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
     return counts(text)
 
@@ -93,9 +95,10 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
 
 
 def filter_documents(docs: DataFrame, text_col: str = "text", host_col: str = "source", max_rate: float = MAX_RATE) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns as they were."""
+    """The rows of ``docs`` that are kept, with their columns as they were. Rows are measured once and written beside their counts."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    measured = docs.select(F.struct(*docs.columns).alias("row"), F.col(host_col).alias("host"), _counts(text).alias("m"))
-    counted = docs.select(F.col(host_col).alias("host"), _counts(text).alias("m"))
+    path = scratch_path(docs.sparkSession, "quality")
+    docs.select(F.struct(*docs.columns).alias("row"), F.col(host_col).alias("host"), _counts(text).alias("m")).write.parquet(path)
+    measured = docs.sparkSession.read.parquet(path)
     failed = rule("too_short", F.col("m")) | rule("repetitive", F.col("m"))
-    return _joined(measured, counted, max_rate).filter(~failed & ~F.col("host_rejected")).select("row.*")
+    return _joined(measured, measured.select("host", "m"), max_rate).filter(~failed & ~F.col("host_rejected")).select("row.*")
