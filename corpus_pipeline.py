@@ -38,7 +38,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _ready(spark)
     clean = secrets.redact(docs, secrets.fit(secrets.corpus_samples(docs)))
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
