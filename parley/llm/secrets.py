@@ -42,21 +42,27 @@ PRIOR_ROWS = 5
 SAME = 0.25
 SIZE = 128
 BLOCK = 256
+CHUNK_BITS = 9
 NO_SPANS = "array<struct<start:int,kind_no:int,end:int,match:string>>"
 
 
-def running_starts(steps: Column) -> Column:
-    """[0, s0, s0+s1, ...]: the exclusive running sums of an int array, built in blocks so that long arrays stay cheap."""
-    blocks = let(steps, lambda a: F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / BLOCK).cast("int")),
-                                              lambda b: F.slice(a, b * BLOCK + 1, BLOCK)))
+def running(values: Column, combine) -> Column:
+    """[0, v0, combine(v0, v1), ...]: the exclusive running result over an int array, built in blocks so that long arrays stay cheap."""
+    blocks = let(values, lambda a: F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / BLOCK).cast("int")),
+                                               lambda b: F.slice(a, b * BLOCK + 1, BLOCK)))
 
     def run(values: Column, start: Column) -> Column:
         return F.aggregate(values, F.struct(start.alias("at"), F.array().cast("array<int>").alias("out")),
-                           lambda s, v: F.struct((s["at"] + v).alias("at"), F.array_append(s["out"], s["at"]).alias("out")))["out"]
+                           lambda s, v: F.struct(combine(s["at"], v).alias("at"), F.array_append(s["out"], s["at"]).alias("out")))["out"]
 
     zero = F.lit(0)
     return let(blocks, lambda bs: F.flatten(F.zip_with(
-        bs, run(F.transform(bs, lambda b: F.aggregate(b, zero, lambda s, v: s + v)), zero), run)))
+        bs, run(F.transform(bs, lambda b: F.aggregate(b, zero, lambda x, y: combine(x, y))), zero), run)))
+
+
+def running_starts(steps: Column) -> Column:
+    """[0, s0, s0+s1, ...]: the exclusive running sums of an int array."""
+    return running(steps, lambda a, b: a + b)
 
 
 def regex_spans(text: Column, pattern: str, kind: int) -> Column:
@@ -81,16 +87,23 @@ def base_spans(text: Column) -> Column:
     return F.concat(assign, regex_spans(text, ACCESS, 1), regex_spans(text, HEX, 2))
 
 
+def _piece(chunks: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of a text given as chunks of 2**CHUNK_BITS code points: only the chunks it touches are read."""
+    first, last, low = F.shiftright(start, CHUNK_BITS), F.shiftright(end, CHUNK_BITS), (1 << CHUNK_BITS) - 1
+    head = F.substring(F.get(chunks, first), start.bitwiseAND(low) + 1, F.lit(1 << CHUNK_BITS))
+    tail = F.coalesce(F.substring(F.get(chunks, last), F.lit(1), end.bitwiseAND(low)), F.lit(""))
+    return F.when(end <= start, F.lit("")).when(first == last, F.substring(F.get(chunks, first), start.bitwiseAND(low) + 1, end - start)).otherwise(
+        F.concat(head, F.array_join(F.slice(chunks, first + 2, last - first - 1), ""), tail))
+
+
 def replace_spans(text: Column, spans: Column, mark: str) -> Column:
-    """``text`` with each of ``spans`` (by start) replaced by ``mark``, overlapping ones by one."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        piece = F.substring(text, s["at"] + 1, F.greatest(x["start"] - s["at"], F.lit(0)))
-        return F.when(x["start"] < s["at"], F.struct(F.greatest(s["at"], x["end"]).alias("at"), s["out"].alias("out"))).otherwise(
-            F.struct(x["end"].alias("at"), F.array_append(s["out"], piece).alias("out")))
-    return F.when(F.size(spans) == 0, text).otherwise(let(
-        F.aggregate(spans, start, step), lambda s: F.array_join(F.array_append(s["out"], F.substring(text, s["at"] + 1, F.length(text))), mark)))
+    """``text`` with each of ``spans`` (by start) replaced by ``mark``, overlapping ones by one; linear in the text and in the spans."""
+    def build(chunks: Column) -> Column:
+        before = running(F.transform(spans, lambda s: s["end"]), F.greatest)  # the end of all spans up to here
+        kept = F.filter(F.zip_with(spans, before, lambda s, e: F.struct(e.alias("start"), s["start"].alias("end"))), lambda p: p["end"] >= p["start"])
+        rest = _piece(chunks, F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text))
+        return F.array_join(F.concat(F.transform(kept, lambda p: _piece(chunks, p["start"], p["end"])), F.array(rest)), mark)
+    return F.when(F.size(spans) == 0, text).otherwise(let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << CHUNK_BITS}}}"), F.lit(0)), build))
 
 
 def corpus_samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
