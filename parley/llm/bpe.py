@@ -4,7 +4,8 @@ Encoding. A token sequence is the merge result of its bytes exactly when each ne
 So each prefix of a piece has one last token, and a nondeterministic transducer over the trie of tokens follows every place
 where a token may still begin, carrying the tokens up to there. ``Transducer`` determinises it on demand: a state is the set of live
 begins (trie node, last token, tokens not yet agreed on); a transition emits the tokens that all live begins agree on, so output
-waits for at most the longest token's length. States and transitions are kept in tables that are dropped at ``MAX_TABLE`` entries.
+waits for at most the longest token's length. States and transitions are kept in tables of at most ``MAX_TABLE`` entries; beyond them
+a step is worked out each time, so a text of any length and kind holds no more. Pieces met before are kept in two generations of ``MAX_PIECES``.
 
 Decoding. Token bytes are appended to ``Utf8Machine``, an incremental UTF-8 state machine that gives out complete characters and
 holds at most three bytes of an unfinished one; malformed input gives U+FFFD as Python's ``errors="replace"`` does.
@@ -25,8 +26,9 @@ from pyspark.sql import functions as F
 
 from parley.llm import common as C
 
-MAX_TABLE = 2_000_000
-MAX_PIECES = 500_000
+MAX_TABLE = 300_000
+MAX_PAIRS = 250_000
+MAX_PIECES = 100_000
 MAX_PIECE_BYTES = 64
 
 
@@ -64,12 +66,9 @@ class Transducer:
                     self.ends.append(None)
                 node = self.trie[node][b]
             self.ends[node] = i
-        self.pairs: dict[tuple[int | None, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.splits: dict[bytes, tuple[bytes, bytes] | None] = {}
-        self._clear()
-
-    def _clear(self) -> None:
-        self.pairs.clear()
+        self.width = max(self.token, default=0) + 1
         self.states: list[tuple] = [((0, None, ()),)]
         self.number: dict[tuple, int] = {self.states[0]: 0}
         self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
@@ -86,10 +85,12 @@ class Transducer:
 
         Merges are undone at the border, the later one first. The pair is not a merge result if the parts that then face each
         other would have merged before the merge that was undone."""
-        got = self.pairs.get((before, t))
+        pair = t if before is None else (before + 1) * self.width + t
+        got = self.pairs.get(pair)
         if got is None:
-            got = self.pairs[before, t] = self._fits(None if before is None else self.token[before], self.token[t])
-            self.size += 1
+            got = self._fits(None if before is None else self.token[before], self.token[t])
+            if len(self.pairs) < MAX_PAIRS:
+                self.pairs[pair] = got
         return got
 
     def _fits(self, left: bytes | None, right: bytes) -> bool:
@@ -110,10 +111,10 @@ class Transducer:
             else:  # of equal ranks the left one merges first, so the right one is undone first
                 undone, right = b + 1, self.split(right)[0]
 
-    def move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """The next state and the tokens emitted."""
+    def move(self, state: int, at: tuple, byte: int) -> tuple[int, tuple, tuple[int, ...]]:
+        """The next state's number (-1: not kept) and content, and the tokens emitted, from the content of ``state``."""
         live, last, trie = [], None, self.trie
-        for node, before, held in self.states[state]:  # longest first
+        for node, before, held in at:  # longest first
             node = trie[node].get(byte)
             if node is None:
                 continue
@@ -132,33 +133,34 @@ class Transducer:
         if agreed:
             live = [(node, before, held[agreed:]) for node, before, held in live]
         key = (*live, (0, last[-1], last[agreed:]))
-        to = self.number.get(key)
-        if to is None:
+        to = self.number.get(key, -1)
+        if to < 0 and self.size < MAX_TABLE:
             to = self.number[key] = len(self.states)
             self.states.append(key)
             self.moves.append({})
             self.size += len(key)
-        self.moves[state][byte] = done = (to, emitted)
-        self.size += 1
-        return done
+        if state >= 0 and to >= 0 and self.size < MAX_TABLE:
+            self.moves[state][byte] = (to, emitted)
+            self.size += 1
+        return to, key, emitted
 
     def encode(self, piece: bytes) -> list[int]:
         """Token ids of one piece."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if self.size > MAX_TABLE:
-            self._clear()
         out: list[int] = []
-        state = 0
+        state, at = 0, self.states[0]
         for b in piece:
-            step = self.moves[state].get(b)
+            step = self.moves[state].get(b) if state >= 0 else None
             if step is None:
-                step = self.move(state, b)
-            state = step[0]
-            if step[1]:
-                out += step[1]
-        out += self.states[state][-1][2]
+                state, at, emitted = self.move(state, at, b)
+            else:
+                state, emitted = step
+                at = self.states[state]
+            if emitted:
+                out += emitted
+        out += at[-1][2]
         return out
 
 
@@ -217,16 +219,20 @@ class Codec:
         self.find = regex.compile(pattern).findall
         self.transducer = Transducer(ranks)
         self.seen: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def encode(self, text: str) -> list[int]:
         seen, out = self.seen, []
         for p in self.find(text):
             ids = seen.get(p)
             if ids is None:
-                ids = tuple(self.transducer.encode(p.encode()))
-                if len(seen) >= MAX_PIECES:
-                    seen.clear()
+                ids = self.older.get(p)
+                if ids is None:
+                    ids = tuple(self.transducer.encode(p.encode()))
                 if len(p) <= MAX_PIECE_BYTES:
+                    if len(seen) >= MAX_PIECES:
+                        self.older, self.seen = seen, {}
+                        seen = self.seen
                     seen[p] = ids
             out.extend(ids)
         return out
