@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions.text import words
-from parley.operators.common import broadcast_if_small
 
 MAX_PIECES = 2_000_000
 
@@ -77,13 +76,18 @@ def piece_table(texts: DataFrame, text_col: str = "text") -> DataFrame:
 
 def decode_ids(df: DataFrame, ids_col: str, pieces: DataFrame, key: str = "ex_id",
                sep: str = "") -> DataFrame:
-    """(key, text) by joining ids to a (token_id, piece) table and joining in order.
+    """(key, text): the pieces of the ids, in order.
 
-    The piece table is vocabulary-sized and broadcast if its counted size allows; unknown ids decode to ''.
+    Row by row, on a batch or a stream, when the piece table's counted size allows it to be sent to the executors; else (batch only) ids are joined
+    and rows regrouped by a generated number. Unknown and null ids decode to ''; null arrays to ''.
     """
-    ex = df.select(key, F.posexplode(ids_col).alias("pos", "token_id"))
-    j = ex.join(broadcast_if_small(pieces, MAX_PIECES), "token_id", "left")
-    g = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("piece", F.lit(""))
-                                                                 .alias("p")))).alias("_s"))
-    out = g.select(key, F.array_join(F.transform("_s", lambda s: s["p"]), sep).alias("text"))
-    return df.select(key).join(out, key, "left").select(key, F.coalesce("text", F.lit("")).alias("text"))
+    from parley.operators.lookup import compile_lookup, decoded
+    lookup = compile_lookup(pieces, "token_id", "piece", MAX_PIECES)
+    if lookup is not None:
+        return df.select(key, F.coalesce(decoded(F.col(ids_col), lookup, sep), F.lit("")).alias("text"))
+    rows = df.select(key, ids_col, F.monotonically_increasing_id().alias("_rid")).checkpoint()
+    ex = rows.select("_rid", F.posexplode(ids_col).alias("pos", "token_id"))
+    j = ex.join(pieces.groupBy("token_id").agg(F.min("piece").alias("piece")), "token_id", "left")
+    g = j.groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("piece", F.lit("")).alias("p")))).alias("_s"))
+    out = g.select("_rid", F.array_join(F.transform("_s", lambda s: s["p"]), sep).alias("text"))
+    return rows.join(out, "_rid", "left").select(key, F.coalesce("text", F.lit("")).alias("text"))

@@ -98,9 +98,14 @@ def _row_bytes(df: DataFrame) -> Column:
     return sum((one(f) for f in df.schema.fields), F.lit(0)).cast("long")
 
 
+def fits(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether a table holds at most ``max_rows`` rows and ``max_bytes`` bytes: one aggregate with partial sums."""
+    size = df.select(_row_bytes(df).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    return size["n"] <= max_rows and size["b"] <= max_bytes
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint only when the table is proven to hold at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    One aggregate with partial sums; beyond the bounds the join shuffles, with the same results."""
-    size = df.select(_row_bytes(df).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
-    return F.broadcast(df) if size["n"] <= max_rows and size["b"] <= max_bytes else df
+    Beyond the bounds the join shuffles, with the same results."""
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df

@@ -1,110 +1,76 @@
 """Token-id sequences: remap / unmap (J1, J2, SQ1-SQ3), training examples
 (PF16, PF17, SQ4-SQ7, SQ11) and OOV audits (PF15, AG3, AG8, W10).
 
-Two remap forms with the same results:
-* ``remap_ids`` (join form): posexplode -> broadcast join with the map ->
-  regroup by key. The map is vocabulary-sized (bounded by the tokenizer's id
-  space) and its row count is checked before the broadcast hint.
-* ``remap_ids_arrow``: a row-local Arrow UDF that looks up a whole batch in
-  one sorted NumPy map; no shuffle, order kept for free.
+Maps within ``lookup.MAX_MAP_ROWS`` are looked up row by row (``parley.operators.lookup``): no shuffle, and the same functions run on a
+streaming DataFrame. Larger ones are joined: ids are exploded, joined and regrouped by a generated row number, so rows of equal key stay apart.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from parley.functions.tokenize import Tokenizer, codepoint_ids
 from parley.functions.text import cut
+from parley.functions.tokenize import Tokenizer
+from parley.operators import lookup as L
 from parley.operators.common import broadcast_if_small
 
 IGNORE = -100
-# Upper bound on vocabulary-map rows that may be broadcast (tokenizer id space).
-MAX_MAP_ROWS = 1_000_000
 DIRECTIONS = ("zh2en", "en2zh")
 
 
 def _map_side(vmap: DataFrame, src: str, dst: str) -> DataFrame:
     m = vmap.select(F.col(src).alias("_k"), F.col(dst).alias("_v"))
-    return broadcast_if_small(m, MAX_MAP_ROWS)
+    return broadcast_if_small(m, L.MAX_MAP_ROWS)
 
 
 # ---------------------------------------------------------------- J1 / J2 / SQ1 / SQ2
 def remap_ids(df: DataFrame, ids_col: str, vmap: DataFrame, key: str = "ex_id",
               unk: int | None = None, out_col: str | None = None, inverse: bool = False) -> DataFrame:
-    """SQ1 / J1 (or SQ2 / J2 with ``inverse``): (key, out_col array<int>) for every input row.
+    """SQ1 / J1 (or SQ2 / J2 with ``inverse``): (key, out_col array<int>) for every input row, on a batch or a stream.
 
-    OOV policy: drop (``unk=None``) or replace by ``unk``. Empty and all-OOV rows
-    give [] (positions are carried as nullable so no row is lost and no unk is
-    invented for an empty row). ``inverse`` maps new -> old and raises on an
-    unknown new id.
+    OOV policy: drop (``unk=None``) or replace by ``unk``. Null, empty and all-OOV rows give []. ``inverse`` maps new -> old and
+    raises on an unknown new id.
     """
     out_col = out_col or ids_col
+    return with_remapped(df.select(key, F.col(ids_col).alias(out_col)), {out_col: out_col}, vmap, unk, inverse)
+
+
+def with_remapped(df: DataFrame, columns: dict[str, str], vmap: DataFrame, unk: int | None = None, inverse: bool = False) -> DataFrame:
+    """``df`` with each of ``columns`` (input: output) remapped; the map is compiled once for all of them."""
     src, dst = ("new_id", "old_id") if inverse else ("old_id", "new_id")
-    ex = df.select(key, F.posexplode_outer(ids_col).alias("_pos", "_k"))
-    j = ex.join(_map_side(vmap, src, dst), "_k", "left")
+    lookup = L.compile_lookup(vmap, src, dst)
+    if lookup is None:
+        for c, out in columns.items():
+            df = _remap_by_join(df, c, vmap, src, dst, unk, out, inverse)
+        return df
+    none = F.array().cast("array<int>")
+    return df.withColumns({out: F.coalesce(L.mapped(F.col(c), lookup, unk, inverse), none) for c, out in columns.items()})
+
+
+def _remap_by_join(df: DataFrame, ids_col: str, vmap: DataFrame, src: str, dst: str, unk: int | None, out_col: str, inverse: bool) -> DataFrame:
+    """The join form for maps beyond the bound (batch only): one row number for each row, ids joined, regrouped by the number."""
+    if df.isStreaming:
+        raise ValueError("a stream can be remapped only through a map within the broadcast bound")
+    rows = df.select(F.struct(*df.columns).alias("_row"), F.monotonically_increasing_id().alias("_rid")).checkpoint()
+    ex = rows.select("_rid", F.posexplode(f"_row.{ids_col}").alias("_pos", "_k")).filter(F.col("_k").isNotNull())
+    m = vmap.filter(F.col(dst).isNotNull()).groupBy(F.col(src).alias("_k")).agg(F.min(dst).alias("_v"))
+    j = ex.join(m, "_k", "left")
     if inverse:
-        v = F.when(F.col("_k").isNotNull() & F.col("_v").isNull(),
-                   F.raise_error(F.concat(F.lit("unknown new id "), F.col("_k").cast("string"))).cast("int")
-                   ).otherwise(F.col("_v"))
-    elif unk is None:
-        v = F.col("_v")
+        v = F.when(F.col("_v").isNull(), F.raise_error(F.concat(F.lit("unknown new id "), F.col("_k").cast("string"))).cast("int")).otherwise(F.col("_v"))
     else:
-        v = F.when(F.col("_k").isNotNull(), F.coalesce(F.col("_v"), F.lit(int(unk))))
-    item = F.when(F.col("_pos").isNotNull() & v.isNotNull(), F.struct(F.col("_pos").alias("p"), v.alias("v")))
-    g = j.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("_s"))
-    return g.select(key, F.transform("_s", lambda s: s["v"]).cast("array<int>").alias(out_col))
-
-
-def sorted_lookup(vmap: DataFrame, src: str = "old_id", dst: str = "new_id") -> tuple[np.ndarray, np.ndarray]:
-    """(ids, values) by ascending id: as large as the map has rows, however large the ids are."""
-    t = vmap.select(F.col(src).cast("long").alias("k"), F.col(dst).cast("long").alias("v")).toPandas().sort_values("k")
-    return t["k"].to_numpy(np.int64), t["v"].to_numpy(np.int64)
-
-
-def look_up(ids: np.ndarray, lookup: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Value of each id, -1 when absent."""
-    keys, values = lookup
-    if not len(keys):
-        return np.full(len(ids), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, ids), len(keys) - 1)
-    return np.where(keys[at] == ids, values[at], -1)
+        v = F.col("_v") if unk is None else F.coalesce("_v", F.lit(int(unk)))
+    item = F.when(v.isNotNull(), F.struct(F.col("_pos").alias("p"), v.alias("v")))
+    g = j.groupBy("_rid").agg(F.array_sort(F.collect_list(item)).alias("_s"))
+    done = F.coalesce(F.transform("_s", lambda s: s["v"]).cast("array<int>"), F.array().cast("array<int>"))
+    return rows.join(g, "_rid", "left").select("_row.*", done.alias("_done")).withColumn(out_col, F.col("_done")).drop("_done")
 
 
 def remap_ids_arrow(df: DataFrame, ids_col: str, vmap: DataFrame, unk: int | None = None,
                     out_col: str | None = None, inverse: bool = False, key: str | None = None) -> DataFrame:
-    """SQ1 / SQ2 row-locally: same results as ``remap_ids``, no shuffle.
-
-    The map is sent to the executors when it has at most MAX_MAP_ROWS rows; a larger
-    one goes through the join form by ``key``."""
-    src, dst = ("new_id", "old_id") if inverse else ("old_id", "new_id")
-    if vmap.count() > MAX_MAP_ROWS and key is not None:
-        return df.drop(out_col or ids_col).join(remap_ids(df, ids_col, vmap, key, unk, out_col, inverse), key)
-    lut = df.sparkSession.sparkContext.broadcast(sorted_lookup(vmap, src, dst))
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _map(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            rows = s.to_numpy()
-            null = np.array([x is None for x in rows], bool)
-            sizes = np.array([0 if x is None else len(x) for x in rows], np.int64)
-            flat = np.concatenate([np.asarray(x, np.int64) for x in rows if x is not None]) if sizes.sum() else np.zeros(0, np.int64)
-            m = look_up(flat, lut.value)      # one lookup for the whole batch
-            if inverse and (m < 0).any():
-                raise ValueError(f"unknown new id {int(flat[m < 0][0])}")
-            if unk is None:
-                row = np.repeat(np.arange(len(rows)), sizes)[m >= 0]
-                m, sizes = m[m >= 0], np.bincount(row, minlength=len(rows))
-            else:
-                m[m < 0] = unk
-            parts = np.split(m.astype(np.int32), np.cumsum(sizes)[:-1]) if len(rows) else []
-            yield pd.Series([None if z else p for z, p in zip(null, parts)], dtype=object)
-
-    return df.withColumn(out_col or ids_col, _map(F.col(ids_col)))
+    """SQ1 / SQ2 as a further (or replaced) column of ``df``, with the rules of ``remap_ids``."""
+    return with_remapped(df, {ids_col: out_col or ids_col}, vmap, unk, inverse)
 
 
 # ---------------------------------------------------------------- PF16 / PF17
@@ -136,20 +102,13 @@ def assemble_labels(prompt_ids, target_ids) -> tuple[Column, Column]:
 
 
 def build_examples(df: DataFrame, vmap: DataFrame, tok: Tokenizer, eos_new_id: int,
-                   max_len: int = 256, key: str = "ex_id", unk: int | None = None,
-                   arrow: bool = False) -> DataFrame:
-    """SQ5: render, encode, map, append eos, assemble, cut the tail to ``max_len``.
+                   max_len: int = 256, key: str = "ex_id", unk: int | None = None) -> DataFrame:
+    """SQ5: render, encode, map, append eos, assemble, cut the tail to ``max_len``, row by row on a batch or a stream.
 
     Output (key, input_ids, labels) in new-id space.
     """
-    enc = df.select(key, tok.encode(render_prompt("src", "direction")).alias("_p"),
-                    tok.encode(F.col("tgt")).alias("_t"))
-    if arrow:
-        m = remap_ids_arrow(remap_ids_arrow(enc, "_p", vmap, unk, key=key), "_t", vmap, unk, key=key)
-    else:
-        mp = remap_ids(enc, "_p", vmap, key, unk)
-        mt = remap_ids(enc, "_t", vmap, key, unk)
-        m = mp.join(mt, key)
+    enc = df.select(key, tok.encode(render_prompt("src", "direction")).alias("_p"), tok.encode(F.col("tgt")).alias("_t"))
+    m = with_remapped(enc, {"_p": "_p", "_t": "_t"}, vmap, unk)
     t = F.concat(F.col("_t"), F.array(F.lit(int(eos_new_id))))
     inp, lab = assemble_labels(F.col("_p"), t)
     return m.select(key, F.slice(inp, 1, max_len).alias("input_ids"), F.slice(lab, 1, max_len).alias("labels"))
@@ -173,17 +132,15 @@ def choose_oov_id(vmap: DataFrame, eos_old: int, unk_old: int | None, pad_old: i
 def export_remap(df: DataFrame, vmap: DataFrame, oov_new: int, key: str = "ex_id",
                  inputs: str = "input_ids", labels: str = "labels") -> DataFrame:
     """SQ6: length-preserving remap: inputs OOV -> oov id; labels keep -100, else map, else oov."""
-    m = _map_side(vmap, "old_id", "new_id")
-    ex = df.select(key, F.posexplode_outer(inputs).alias("_pos", "_k"),
-                   F.lit(0).alias("_which")).unionByName(
-        df.select(key, F.posexplode_outer(labels).alias("_pos", "_k"), F.lit(1).alias("_which")))
-    j = ex.join(m, "_k", "left")
-    v = F.when(F.col("_k") == IGNORE, F.lit(IGNORE)).otherwise(F.coalesce("_v", F.lit(int(oov_new))))
-    item = F.when(F.col("_pos").isNotNull(), F.struct(F.col("_pos").alias("p"), v.alias("v")))
-    g = j.groupBy(key, "_which").agg(F.array_sort(F.collect_list(item)).alias("_s"))
-    g = g.select(key, "_which", F.transform("_s", lambda s: s["v"]).cast("array<int>").alias("_a"))
-    return g.groupBy(key).agg(F.max(F.when(F.col("_which") == 0, F.col("_a"))).alias(inputs),
-                              F.max(F.when(F.col("_which") == 1, F.col("_a"))).alias(labels))
+    lookup = L.compile_lookup(vmap, "old_id", "new_id")
+    none = F.array().cast("array<int>")
+    if lookup is not None:
+        return df.select(key, *[F.coalesce(L.kept_length(F.col(c), lookup, oov_new, IGNORE), none).alias(c) for c in (inputs, labels)])
+    marked = vmap.select("old_id", "new_id").unionByName(vmap.sparkSession.sql(f"select {IGNORE} as old_id, {IGNORE} as new_id"))
+    out = df.select(key, *[F.transform(c, lambda x: F.coalesce(x, F.lit(-(1 << 31)))).alias(c) for c in (inputs, labels)])  # null ids are unknown ones
+    for c in (inputs, labels):
+        out = _remap_by_join(out, c, marked, "old_id", "new_id", oov_new, c, False)
+    return out
 
 
 def oov_hits(df: DataFrame, vmap: DataFrame, labels: str = "labels") -> DataFrame:
@@ -238,6 +195,3 @@ def first_oov_samples(df: DataFrame, vmap: DataFrame, tok: Tokenizer, n: int, or
     bad = first.join(m, "token_id", "left_anti")
     return bad.orderBy(*order_by).limit(n).select(*order_by, *([direction] if direction not in order_by else []),
                                                   cut("_t", width).alias(text), "token_id")
-
-
-__all__ = ["remap_ids", "remap_ids_arrow", "codepoint_ids"]

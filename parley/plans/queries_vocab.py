@@ -338,9 +338,9 @@ O.add_view("examples", ["built_keyed", "example_tokens"], f"""
           FROM built_keyed b)""")
 
 
-def examples(spark, d, arrow: bool = False):
+def examples(spark, d):
     vm = vmap_small(spark, d)
-    return S.build_examples(row_keyed(built(spark, d)), vm, CODEPOINT, EOS_OLD, MAX_LEN, key="row_id", arrow=arrow)
+    return S.build_examples(row_keyed(built(spark, d)), vm, CODEPOINT, EOS_OLD, MAX_LEN, key="row_id")
 
 
 _sq5 = O.with_views(["examples"], """
@@ -355,7 +355,7 @@ def sq5_build_examples(spark, d):
 
 @register("sq5_build_examples_arrow", _sq5)
 def sq5_build_examples_arrow(spark, d):
-    return examples(spark, d, arrow=True).select("row_id", ids_str("input_ids"), ids_str("labels"))
+    return examples(spark, d).select("row_id", ids_str("input_ids"), ids_str("labels"))
 
 
 @register("sq11_target_positions", O.with_views(["examples"], """

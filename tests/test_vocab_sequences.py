@@ -146,13 +146,12 @@ def test_target_positions(spark):
 def test_build_examples_truncates_and_appends_eos(spark):
     vm = spark.createDataFrame([(ord(c), i) for i, c in enumerate("ab\n[]zhen2")], "old_id int, new_id int")
     df = spark.createDataFrame([(1, "ab", "ba", "zh2en")], "ex_id long, src string, tgt string, direction string")
-    for arrow in (False, True):
-        r = S.build_examples(df, vm, CODEPOINT, eos_new_id=99, max_len=100, arrow=arrow).first()
-        prompt = [ord(c) for c in "ab\n[zh2en]\n"]
-        m = {o: n for o, n in vm.collect()}
-        p = [m[x] for x in prompt]
-        assert r.input_ids == p + [m[ord("b")], m[ord("a")], 99]
-        assert r.labels == [-100] * len(p) + [m[ord("b")], m[ord("a")], 99]
+    r = S.build_examples(df, vm, CODEPOINT, eos_new_id=99, max_len=100).first()
+    prompt = [ord(c) for c in "ab\n[zh2en]\n"]
+    m = {o: n for o, n in vm.collect()}
+    p = [m[x] for x in prompt]
+    assert r.input_ids == p + [m[ord("b")], m[ord("a")], 99]
+    assert r.labels == [-100] * len(p) + [m[ord("b")], m[ord("a")], 99]
     short = S.build_examples(df, vm, CODEPOINT, eos_new_id=99, max_len=4).first()
     assert len(short.input_ids) == 4 and short.labels == [-100] * 4
 
