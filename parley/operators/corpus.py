@@ -142,12 +142,13 @@ def apply_quota(accepted: DataFrame, sources: DataFrame, targets: dict[str, int]
                 order_by: Sequence, salt_buckets: int | None = None) -> DataFrame:
     """First ``want`` accepted rows of each source, want chosen by the source kind.
 
-    Filters are applied before this call (quotas count accepted rows only).
+    Filters are applied before this call (quotas count accepted rows only). A null source is a source.
     One pass: the largest want is the literal limit of the window (so
     WindowGroupLimit stays in the plan), and each kind keeps its own share.
     """
     wanted = {k: w for k, w in targets.items() if w > 0}
-    tagged = accepted.join(sources.select("source", "kind"), "source").filter(F.col("kind").isin(list(wanted)))
+    named = sources.select(F.col("source").alias("_source"), "kind")
+    tagged = accepted.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").filter(F.col("kind").isin(list(wanted)))
     if not wanted:
         return tagged
     top = top_n_per_group(tagged, ["source"], order_by, max(wanted.values()), rank_col="_rn", salt_buckets=salt_buckets)
@@ -156,11 +157,11 @@ def apply_quota(accepted: DataFrame, sources: DataFrame, targets: dict[str, int]
 
 
 def source_counts(kept: DataFrame) -> DataFrame:
-    """AG18: accepted pairs per (source, kind), rows = 2 * pairs, plus a total row."""
-    g = kept.rollup("kind", "source").agg(F.count(F.lit(1)).alias("pairs"))
-    g = g.filter(F.col("source").isNotNull() | F.col("kind").isNull())
-    return g.select(F.coalesce("source", F.lit("__total__")).alias("source"),
-                    F.coalesce("kind", F.lit("__total__")).alias("kind"),
+    """AG18: accepted pairs per (source, kind), rows = 2 * pairs, plus a total row. A null source keeps its own row."""
+    g = kept.rollup("kind", "source").agg(F.count(F.lit(1)).alias("pairs"), F.grouping_id().alias("_g")).filter(F.col("_g").isin(0, 3))
+    total = F.col("_g") == 3
+    return g.select(F.when(total, F.lit("__total__")).otherwise(F.col("source")).alias("source"),
+                    F.when(total, F.lit("__total__")).otherwise(F.col("kind")).alias("kind"),
                     "pairs", (F.col("pairs") * 2).alias("rows"))
 
 

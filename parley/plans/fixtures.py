@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.operators.common import global_index
 from parley.operators.corpus import fan_out
 
 # The 26 lowercase ASCII letters and the 26 CJK characters they map to.
@@ -34,6 +35,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+def next_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vec_id, next_id): each vector and the one after it in order of ids, the last one and the first."""
+    numbered = global_index(table(spark, sf_dir, "embeddings").select("vec_id"), ["vec_id"], name="at").checkpoint()
+    n = numbered.count()
+    after = numbered.select(F.pmod(F.col("at") - 1, F.lit(max(n, 1))).alias("at"), F.col("vec_id").alias("next_id"))
+    return numbered.join(after, "at").select("vec_id", "next_id")
+
+
 def pseudo_zh(en: Column) -> Column:
     return F.translate(F.lower(F.replace(en, F.lit(" "), F.lit(""))), LETTERS, PSEUDO_CJK)
 
@@ -78,7 +87,7 @@ def directed(pairs: DataFrame) -> DataFrame:
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(source, kind): kind is spoken when the number in the source name is even."""
     docs = table(spark, sf_dir, "documents").select("source").distinct()
-    num = F.regexp_extract("source", "([0-9]+)$", 1).cast("int")
+    num = F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) as int)")
     return docs.select("source", F.when(num % 2 == 0, "spoken").otherwise("general").alias("kind"))
 
 

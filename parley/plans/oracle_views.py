@@ -82,7 +82,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         UNION ALL
         SELECT doc_id * {LINE_BASE} + line_no AS ex_id, en AS src, zh AS tgt, 'en2zh' AS direction FROM accepted"""),
     "sources": ([], """
-        SELECT source, CASE WHEN CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 2 = 0
+        SELECT source, CASE WHEN TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 2 = 0
                             THEN 'spoken' ELSE 'general' END AS kind
         FROM (SELECT DISTINCT source FROM documents)"""),
     "conv_pairs": ([], """
@@ -118,3 +118,7 @@ def add_view(name: str, deps: list[str], sql: str, materialized: bool = False) -
     VIEWS[name] = (deps, sql)
     if materialized:
         MATERIALIZED.add(name)
+
+
+add_view("next_vectors", [], """
+    SELECT vec_id, coalesce(lead(vec_id) OVER (ORDER BY vec_id), min(vec_id) OVER ()) AS next_id FROM embeddings""")

@@ -231,19 +231,20 @@ def w3_calib_per_lang(spark, d):
 # ------------------------------------------------------------------ PF4 / IO5 / SO5
 def _source_frames(spark, d):
     p = X.pairs_clean(spark, d, with_source=True)
-    num = F.regexp_extract("source", "([0-9]+)$", 1).cast("int")
-    nested = p.filter(num % 2 == 0).select("source", F.struct("en", "zh").alias("translation"))
-    flat = p.filter(num % 2 == 1).select("source", F.col("en").alias("english"),
+    num = F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) as int)")
+    even = F.coalesce(num % 2 == 0, F.lit(False))  # sources without a number are in the flat part
+    nested = p.filter(even).select("source", F.struct("en", "zh").alias("translation"))
+    flat = p.filter(~even).select("source", F.col("en").alias("english"),
                                          F.col("zh").alias("non_english"))
     return nested, flat
 
 
 @register("io5_multi_source", O.with_views(["pairs_clean"], """
     SELECT 'nested' AS sid, 'spoken' AS kind, source, en, zh FROM pairs_clean
-    WHERE CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 2 = 0
+    WHERE coalesce(TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 2 = 0, false)
     UNION ALL
     SELECT 'flat', 'general', source, en, zh FROM pairs_clean
-    WHERE CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 2 = 1"""))
+    WHERE NOT coalesce(TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 2 = 0, false)"""))
 def io5_multi_source(spark, d):
     nested, flat = _source_frames(spark, d)
     specs = [R.SourceSpec("nested", lambda: nested, "translation", "spoken"),
@@ -254,10 +255,10 @@ def io5_multi_source(spark, d):
 
 @register("io6_source_status", O.with_views(["pairs_clean"], """
     SELECT 'nested' AS source, 'spoken' AS kind, 'ok' AS status, count(*) AS rows FROM pairs_clean
-    WHERE CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 2 = 0
+    WHERE coalesce(TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 2 = 0, false)
     UNION ALL
     SELECT 'flat', 'general', 'ok', count(*) FROM pairs_clean
-    WHERE CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 2 = 1
+    WHERE NOT coalesce(TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 2 = 0, false)
     UNION ALL SELECT 'missing', 'general', 'skip', CAST(0 AS BIGINT)"""))
 def io6_source_status(spark, d):
     nested, flat = _source_frames(spark, d)

@@ -66,12 +66,10 @@ def embedding_scorer():
     return fn
 
 
-@register("u3_teacher_topk", O.with_views(["score_rows"], """
-    SELECT vec_id + 1 AS vec_id, array_to_string(list_transform(tk, lambda s: -s.ni), ' ') AS top_ids FROM score_rows
-    UNION ALL
-    SELECT 0, array_to_string(list_transform(list_slice(list_sort(list_transform(embedding, lambda x, i:
-           {'v': CAST(x AS DOUBLE), 'ni': -(i - 1)}), 'DESC'), 1, """ + str(K) + """), lambda s: -s.ni), ' ')
-    FROM embeddings WHERE vec_id = 0"""))
+@register("u3_teacher_topk", f"""
+    SELECT vec_id, array_to_string(list_transform(list_slice(list_sort(list_transform(embedding, lambda x, i:
+           {{'v': CAST(x AS DOUBLE), 'ni': -(i - 1)}}), 'DESC'), 1, {K}), lambda s: -s.ni), ' ') AS top_ids
+    FROM embeddings""")
 def u3_teacher_topk(spark, d):
     e = X.table(spark, d, "embeddings")
     scored = SC.score_with(e, embedding_scorer, ["embedding"], "scores", keep=["vec_id"])

@@ -178,11 +178,11 @@ def ag21_head_tail(spark, d):
 
 
 # ------------------------------------------------------------------ SK8 / SQ14 / SQ15
-O.add_view("neuron_scores", [], """
+O.add_view("neuron_scores", ["next_vectors"], """
     SELECT a.vec_id AS row_id,
            sqrt(list_sum(list_transform(a.embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))))
            + sqrt(list_sum(list_transform(b.embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS score
-    FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""")
+    FROM next_vectors n JOIN embeddings a ON a.vec_id = n.vec_id JOIN embeddings b ON b.vec_id = n.next_id""")
 O.add_view("kept_neurons", ["neuron_scores"], f"""
     SELECT row_id, score FROM (SELECT *, row_number() OVER (ORDER BY score DESC, row_id) AS rn FROM neuron_scores)
     WHERE rn <= {KEEP_NEURONS}""")
@@ -191,7 +191,8 @@ O.add_view("kept_neurons", ["neuron_scores"], f"""
 def weights(spark, d):
     e = X.table(spark, d, "embeddings")
     a = e.select(F.col("vec_id").alias("row_id"), F.col("embedding").alias("vec"))
-    b = e.select((F.col("vec_id") - 1).alias("row_id"), F.col("embedding").alias("vec"))
+    b = e.select(F.col("vec_id").alias("next_id"), F.col("embedding").alias("vec")).join(X.next_vectors(spark, d), "next_id")
+    b = b.select(F.col("vec_id").alias("row_id"), "vec")
     return a, b
 
 

@@ -11,6 +11,7 @@ from parley.operators import vocab as V
 from parley.plans import fixtures as X
 from parley.plans import oracle_views as O
 from parley.plans.catalog import register
+from parley.streaming.rowwise import through_stream
 from parley.plans.queries_vocab import old_examples
 from parley.session import scratch_path
 
@@ -36,12 +37,12 @@ O.add_view("vec_imp", [], """
 O.add_view("vmap_vec", ["vec_imp"], f"""
     SELECT pos AS old_id, CAST(row_number() OVER (ORDER BY pos) - 1 AS INTEGER) AS new_id FROM (
         SELECT pos, row_number() OVER (ORDER BY importance DESC, pos) AS rn FROM vec_imp) WHERE rn <= {KEEP_POS}""")
-O.add_view("score_rows", [], f"""
+O.add_view("score_rows", ["next_vectors"], f"""
     SELECT s.vec_id, s.embedding AS logits, CASE WHEN s.vec_id % 10 = 0 THEN -100 ELSE s.label END AS label,
            t.embedding AS t_scores,
            list_slice(list_sort(list_transform(t.embedding, lambda x, i: {{'v': CAST(x AS DOUBLE), 'ni': -(i - 1)}}),
                                 'DESC'), 1, {K}) AS tk
-    FROM embeddings s JOIN embeddings t ON t.vec_id = s.vec_id + 1""")
+    FROM next_vectors n JOIN embeddings s ON s.vec_id = n.vec_id JOIN embeddings t ON t.vec_id = n.next_id""")
 O.add_view("teacher_kept", ["score_rows", "vmap_vec"], """
     SELECT vec_id, list_transform(kept, lambda z: z.j) AS keep_pos, list_transform(kept, lambda z: z.n) AS new_ids,
            list_transform(kept, lambda z: z.v) AS raw
@@ -67,12 +68,16 @@ O.add_view("loss_terms", ["loss_rows"], """
     FROM loss_rows""")
 
 
-def score_rows(spark, d):
+def score_vectors(spark, d):
     e = X.table(spark, d, "embeddings")
     s = e.select("vec_id", F.col("embedding").alias("logits"),
                  F.when(F.col("vec_id") % 10 == 0, F.lit(-100)).otherwise(F.col("label")).alias("label"))
-    t = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("t_scores"))
-    return SC.topk(s.join(t, "vec_id"), "t_scores", K)
+    t = e.select(F.col("vec_id").alias("next_id"), F.col("embedding").alias("t_scores"))
+    return s.join(X.next_vectors(spark, d), "vec_id").join(t, "next_id").drop("next_id")
+
+
+def score_rows(spark, d):
+    return SC.topk(score_vectors(spark, d), "t_scores", K)
 
 
 def vmap_vec(spark, d):
@@ -113,13 +118,27 @@ def sk7_topk(spark, d):
 
 
 # ------------------------------------------------------------------ SQ8
-@register("sq8_remap_topk", O.with_views(["teacher_kept"], """
+_sq8 = O.with_views(["teacher_kept"], """
     SELECT vec_id, array_to_string(keep_pos, ' ') AS keep_pos, array_to_string(new_ids, ' ') AS new_ids
-    FROM teacher_kept"""))
+    FROM teacher_kept""")
+
+
+@register("sq8_remap_topk", _sq8)
 def sq8_remap_topk(spark, d):
     return teacher(spark, d).select("vec_id", s("keep_pos"), s("new_ids"))
 
 
+@register("sq8_topk_stream", _sq8)
+def sq8_topk_stream(spark, d):
+    """SK7 + SQ8 + SQ9 between a file source and a Parquet sink."""
+    vm = vmap_vec(spark, d)
+
+    def form(rows):
+        return SC.remap_topk(SC.topk(rows, "t_scores", K), ["vec_id"], "top_ids", "top_vals", vm)
+    out, _ = through_stream(score_vectors(spark, d).select("vec_id", "t_scores"), form, "sq8")
+    return out.select("vec_id", s("keep_pos"), s("new_ids"))
+
+
 # ------------------------------------------------------------------ SQ9
 @register("sq9_renormalize", O.with_views(["teacher_norm"], """
     SELECT vec_id, array_to_string(new_ids, ' ') AS new_ids,

@@ -13,6 +13,7 @@ from parley.session import scratch_path
 from parley.sources import files as IO
 from parley.streaming import continuous as SC
 from parley.streaming import revisions as RV
+from parley.streaming import sessions as SS
 
 REVISIONS = 4     # partial revisions per utterance
 STABLE_N = 2      # revisions a prefix must survive
@@ -93,17 +94,51 @@ def st4_trigger_stream(spark, d):
     return spark.read.parquet(out).select("session", "ts", "stable_len", "emitted", "fire")
 
 
-@register("st5_segment_latency", O.with_views(["fired"], """
+_ST5 = O.with_views(["fired"], """
     SELECT session, min(ts) AS first_partial, min(ts) FILTER (WHERE stable_len > 0) AS first_stable,
            min(ts) FILTER (WHERE fire) AS first_output, max(ts) AS final,
            round(epoch(min(ts) FILTER (WHERE stable_len > 0)) - epoch(min(ts)), 6) AS stable_delay_s,
            round(epoch(min(ts) FILTER (WHERE fire)) - epoch(min(ts)), 6) AS output_delay_s,
            round(epoch(max(ts)) - epoch(min(ts)), 6) AS total_s
-    FROM fired GROUP BY session"""))
+    FROM fired GROUP BY session""")
+
+
+@register("st5_segment_latency", _ST5)
 def st5_segment_latency(spark, d):
     return RV.segment_latency(fired(spark, d))
 
 
+MICRO_BATCHES = 3
+
+
+def _session_stream(spark, d, form):
+    """``form`` over the revisions in shuffled order, dealt into micro-batches. The watermark waits for all of them, and a closing row ends the input."""
+    src, out, ck = (scratch_path(spark, f"sessions-{x}") for x in ("src", "out", "ckpt"))
+    rows = partials(spark, d)
+    days = rows.agg((F.datediff(F.max("ts"), F.min("ts")) + 1).alias("n")).first()["n"] or 1
+    end = rows.agg((F.max("ts") + F.make_dt_interval(F.lit(days + 1))).alias("ts")).select(F.lit(CLOSING).alias("session"), "ts", F.lit("").alias("text"))
+    rows.repartition(MICRO_BATCHES * 2, F.xxhash64("session", "ts", "text")).write.json(f"{src}/0")
+    end.write.json(f"{src}/1")
+    stream = spark.readStream.schema("session string, ts timestamp, text string").option("maxFilesPerTrigger", 2).json(f"{src}/*")
+    with SS.rocksdb_state(spark):
+        q = (form(stream, STABLE_N, TRIGGER_K, watermark=f"{days} days").writeStream.outputMode("append")
+             .option("checkpointLocation", ck).trigger(availableNow=True).format("parquet").start(out))
+        q.awaitTermination()
+    return spark.read.parquet(out).filter(F.col("session") != CLOSING)
+
+
+@register("st3_session_stream", O.with_views(["fired"], "SELECT session, ts, stable_len, emitted, fire FROM fired"))
+def st3_session_stream(spark, d):
+    """ST3 + ST4 on the state API, in any order of arrival."""
+    return _session_stream(spark, d, SS.stable_sessions)
+
+
+@register("st5_segment_latency_stream", _ST5)
+def st5_segment_latency_stream(spark, d):
+    """ST5 as a stream: one row for each session when its time is over."""
+    return _session_stream(spark, d, SS.session_latency)
+
+
 # ------------------------------------------------------------------ ST8
 def _continuous(spark, d, job):
     src, out, ck = scratch_path(spark, "st8-src"), scratch_path(spark, "st8-out"), scratch_path(spark, "st8-ckpt")

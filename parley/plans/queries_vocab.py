@@ -11,6 +11,7 @@ from parley.operators import vocab as V
 from parley.plans import fixtures as X
 from parley.plans import oracle_views as O
 from parley.plans.catalog import register
+from parley.streaming.rowwise import through_stream
 from parley.plans.queries_corpus import accepted, built
 
 SPECIAL = [0, 1, 2, 3]           # special ids of the fixture vocabulary
@@ -269,6 +270,14 @@ _remap_unk = O.with_views(["zh_ids", "zh_tokens"], f"""
         FROM zh_tokens GROUP BY ex_id) r USING (ex_id)""")
 
 
+@register("sq1_remap_stream", _remap_drop)
+def sq1_remap_stream(spark, d):
+    """SQ1 between a file source and a Parquet sink."""
+    vm = vmap_small(spark, d)
+    out, _ = through_stream(zh_ids(spark, d), lambda x: S.remap_ids(x, "ids", vm), "sq1")
+    return out.select("ex_id", ids_str("ids"))
+
+
 @register("sq1_remap_unk", _remap_unk)
 def sq1_remap_unk(spark, d):
     return S.remap_ids(zh_ids(spark, d), "ids", vmap_small(spark, d), unk=UNK_OLD).select("ex_id", ids_str("ids"))
@@ -358,6 +367,14 @@ def sq5_build_examples_arrow(spark, d):
     return examples(spark, d).select("row_id", ids_str("input_ids"), ids_str("labels"))
 
 
+@register("sq5_examples_stream", _sq5)
+def sq5_examples_stream(spark, d):
+    """SQ5 between a file source and a Parquet sink."""
+    vm = vmap_small(spark, d)
+    out, _ = through_stream(row_keyed(built(spark, d)), lambda x: S.build_examples(x, vm, CODEPOINT, EOS_OLD, MAX_LEN, key="row_id"), "sq5")
+    return out.select("row_id", ids_str("input_ids"), ids_str("labels"))
+
+
 @register("sq11_target_positions", O.with_views(["examples"], """
     SELECT row_id, array_to_string(list_filter(range(1, len(labels)), lambda p: labels[p + 1] <> -100), ' ')
            AS positions FROM examples"""))
@@ -397,13 +414,16 @@ def sq5_tail_cut(spark, d):
                     F.array_join(F.slice("labels", 1, TAIL_LEN), " ").alias("labels"))
 
 
-@register("sq6_export_remap", O.with_views(["old_examples", "vmap_small"], f"""
+_sq6 = O.with_views(["old_examples", "vmap_small"], f"""
     SELECT e.row_id,
       array_to_string(list_transform(e.input_ids, lambda x: coalesce(map_extract_value(mm.m, x), {UNK_OLD})), ' ')
           AS input_ids,
       array_to_string(list_transform(e.labels, lambda x: CASE WHEN x = -100 THEN -100
           ELSE coalesce(map_extract_value(mm.m, x), {UNK_OLD}) END), ' ') AS labels
-    FROM old_examples e, (SELECT map(list(old_id), list(new_id)) AS m FROM vmap_small) mm"""))
+    FROM old_examples e, (SELECT map(list(old_id), list(new_id)) AS m FROM vmap_small) mm""")
+
+
+@register("sq6_export_remap", _sq6)
 def sq6_export_remap(spark, d):
     vm = vmap_small(spark, d)
     _, oov = S.choose_oov_id(vm, EOS_OLD, UNK_OLD, PAD_OLD)
@@ -411,6 +431,15 @@ def sq6_export_remap(spark, d):
     return r.select("row_id", ids_str("input_ids"), ids_str("labels"))
 
 
+@register("sq6_export_stream", _sq6)
+def sq6_export_stream(spark, d):
+    """SQ6 between a file source and a Parquet sink."""
+    vm = vmap_small(spark, d)
+    _, oov = S.choose_oov_id(vm, EOS_OLD, UNK_OLD, PAD_OLD)
+    out, _ = through_stream(old_examples(spark, d), lambda x: S.export_remap(x, vm, oov, key="row_id"), "sq6")
+    return out.select("row_id", ids_str("input_ids"), ids_str("labels"))
+
+
 @register("ag8_oov_hits", O.with_views(["old_examples", "vmap_small"], """
     SELECT count(*) AS target_tokens, count_if(old_id IS NULL) AS oov_hits FROM (
         SELECT unnest(labels) AS x FROM old_examples) l

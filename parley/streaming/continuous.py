@@ -1,7 +1,6 @@
 """ST8: continuous token frequency and quality profile with Structured Streaming.
 
-The stateless operators (PF1-PF17, SQ4-SQ12) apply unchanged to a streaming
-DataFrame; here the two aggregates are maintained incrementally from a file
+Row-local operators run on a streaming DataFrame as they are (``rowwise``); here the two aggregates are maintained incrementally from a file
 source. ``Trigger.AvailableNow`` processes everything present and stops, so
 the same job serves scheduled backfills and tests. Aggregate state is keyed
 by direction / token id, i.e. bounded by the vocabulary, not the data.
