@@ -28,7 +28,7 @@ from parley.llm import common as C
 
 MAX_TABLE = 300_000
 MAX_PAIRS = 250_000
-MAX_PIECES = 100_000
+MAX_PIECES = 200_000
 MAX_PIECE_BYTES = 64
 
 
