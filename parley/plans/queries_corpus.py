@@ -8,12 +8,15 @@ from parley.operators import profile as P
 from parley.plans import fixtures as X
 from parley.plans import oracle_views as O
 from parley.plans.catalog import register
+from parley.session import scratch_path
 from parley.sources import registry as R
+from parley.sources import shardstore as SS
 
 QUOTA_TOTAL, QUOTA_RATIO = 400, 0.7
 TEST_SIZE, SEED = 2000, 42
 PER_LANG = 300
 SAMPLES = 5
+SHARD_DOCS = 20        # documents of a shard in the sources read until a quota
 
 
 def directed_dirty(spark, d):
@@ -206,6 +209,27 @@ def w1_source_quota_salted(spark, d):
     return quota(spark, d, salt_buckets=8).select("source", "kind", "doc_id", "line_no", "zh", "en")
 
 
+@register("io5_quota_early_stop", O.with_views(["quota_built"], """
+    SELECT source, kind, doc_id, line_no, zh, en FROM quota_built"""))
+def io5_quota_early_stop(spark, d):
+    """W1 over one folder of shards for each source, read in waves until the source's quota is filled."""
+    path = scratch_path(spark, "sources")
+    name = F.concat(F.lit("s"), F.coalesce(F.md5("source"), F.lit("none")))
+    docs = X.table(spark, d, "documents").select("doc_id", "source", "text", name.alias("name"))
+    SS.write_source_folders(docs, path, "name", ["doc_id"], SHARD_DOCS)
+    kinds = X.sources(spark, d).select(F.concat(F.lit("name="), name).alias("folder"), "source", "kind")
+    targets = C.quota_targets(QUOTA_TOTAL, QUOTA_RATIO)
+    wanted = {r["folder"]: targets[r["kind"]] for r in kinds.collect()}  # the registry: one row for each source
+
+    def accept(rows):
+        lines = rows.select("folder", "doc_id", "source", F.posexplode(F.split("text", "\n")).alias("line_no", "en"))
+        pairs = X.inject_defects(lines.withColumn("zh", X.pseudo_zh(F.col("en"))).withColumn("line_no", F.col("line_no").cast("int")))
+        return C.filter_pairs(pairs, src="zh", tgt="en")
+    rows, _ = SS.read_until_quota(spark, path, wanted, accept, ["doc_id", "line_no"], scratch_path(spark, "quota"),
+                                  "doc_id long, source string, text string")
+    return rows.join(kinds.select("folder", "kind"), "folder").select("source", "kind", "doc_id", "line_no", "zh", "en")
+
+
 @register("ag18_source_counts", O.with_views(["quota_built"], """
     SELECT source, kind, count(*) AS pairs, 2 * count(*) AS rows FROM quota_built GROUP BY source, kind
     UNION ALL

@@ -14,6 +14,7 @@ from parley.plans.catalog import register
 from parley.streaming.rowwise import through_stream
 from parley.plans.queries_vocab import old_examples
 from parley.session import scratch_path
+from parley.sources import shardstore as SS
 
 K = 8                 # teacher top-k
 KEEP_POS = 48         # score positions kept by activation importance (EV6)
@@ -264,6 +265,18 @@ def io9_shard_manifest(spark, d):
     return man.select("shard_id", "n", "start", "end")
 
 
+@register("io9_shard_commit", O.with_views(["sharded"], """
+    SELECT shard_id, count(*) AS n, CAST(min(global_idx) AS BIGINT) AS start, CAST(max(global_idx) + 1 AS BIGINT) AS "end",
+           CAST(sum(row_id) AS BIGINT) AS ids, sum(len(input_ids)) AS tokens FROM sharded GROUP BY shard_id"""))
+def io9_shard_commit(spark, d):
+    """Shards and manifest committed together by the registered data source, both read back."""
+    path = scratch_path(spark, "committed")
+    man = SS.write_committed(old_examples(spark, d), path, ["row_id"], SHARD)
+    rows = spark.read.format(SS.FORMAT).load(path).groupBy("shard_id").agg(
+        F.sum("row_id").cast("bigint").alias("ids"), F.sum(F.size("input_ids")).cast("bigint").alias("tokens"))
+    return man.join(rows, "shard_id").select("shard_id", "n", "start", "end", "ids", "tokens")
+
+
 @register("io10_shard_reader", O.with_views(["sharded"], """
     SELECT shard_id, count(*) AS rows, min(local_idx) AS min_local, max(local_idx) AS max_local,
            CAST(min(row_id) AS BIGINT) AS first_row FROM sharded GROUP BY shard_id"""))
