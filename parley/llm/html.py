@@ -23,6 +23,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections import Counter
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -56,10 +57,11 @@ NUMBER = re.compile(r"\d+")
 CAMEL = re.compile(r"([a-z])([A-Z])")
 
 
-def named(attrs: dict[str, str]) -> str:
+@lru_cache(maxsize=4_096)
+def named(classes: str, name: str) -> str:
     """What the class and id words call an element: ``readers``, ``notices``, ``places`` or nothing."""
     kinds = set()
-    for word in [*attrs.get("class", "").split(), attrs.get("id", "")]:
+    for word in [*classes.split(), name]:
         label = NUMBER.sub("", CAMEL.sub(r"\1-\2", word)).lower()
         found = None if STATE.search(label) else NAMES.search(label)
         if found:
@@ -67,6 +69,11 @@ def named(attrs: dict[str, str]) -> str:
     return min(kinds, key=("readers", "notices", "places").index, default="")
 
 
+@lru_cache(maxsize=4_096)
+def generalised(classes: str) -> str:
+    return "".join(sorted("." + NUMBER.sub("N", c).replace("/", "_") for c in classes.split()))
+
+
 class Page:
     """The blocks of a page and the tree of their generalised paths.
 
@@ -180,7 +187,7 @@ class PageParser(HTMLParser):
                         break
 
     def _part(self, tag: str, attrs: dict[str, str], outer: int) -> int:
-        kind = named(attrs)
+        kind = named(attrs.get("class", ""), attrs.get("id", ""))
         if tag in ("article", "main") and kind != "readers":
             self.page.parts[outer][4] += 1
         by_tag = (tag in SET_ASIDE and not (tag == "header" and self.open["article"])) or attrs.get("role", "").lower() in ROLES
@@ -199,11 +206,10 @@ class PageParser(HTMLParser):
         _, node, _, part = self.stack[-1] if self.stack else ("", 0, False, 0)
         out = tag in DROPPED or "hidden" in given or given.get("aria-hidden") == "true"
         if tag in INLINE:
-            out = out or given.get("role", "").lower() in ROLES or bool(named(given))
+            out = out or given.get("role", "").lower() in ROLES or bool(given and named(given.get("class", ""), given.get("id", "")))
         elif not self.skip and not out:
             part = self._part(tag, given, part)
-            classes = ".".join(sorted(NUMBER.sub("N", c).replace("/", "_") for c in given.get("class", "").split()))
-            node = self.page.child(node, f"{tag}.{classes}" if classes else tag)
+            node = self.page.child(node, tag + generalised(given["class"]) if "class" in given else tag)
         self.stack.append((tag, node, out, part))
         self.skip += out
         self.open[tag] += 1
@@ -355,7 +361,7 @@ def _vote(html: Column) -> Column:
     @F.pandas_udf("path string, score long")
     def vote(pages: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([best_container(parse(x)) for x in pages], columns=["path", "score"])
-    return vote(html)
+    return vote.asNondeterministic()(html)  # evaluated once, not again for the filter on its path
 
 
 def _extract(html: Column, path: Column) -> Column:
