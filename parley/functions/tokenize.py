@@ -2,22 +2,29 @@
 
 Native tokenizers stay JVM-side: ``codepoint`` (code point ids), ``char``
 (characters), ``whitespace`` (Python ``str.split()`` words) and ``utf8``
-(UTF-8 byte values). An external tokenizer file (``tokenizers`` JSON) runs in
-an iterator pandas UDF that loads the file once per Python worker.
+(UTF-8 byte values). An external tokenizer file (``tokenizers`` JSON) is sent
+to the executors by content and runs in an iterator pandas UDF that parses it
+once per Python worker.
 """
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions.text import words
 
 MAX_PIECES = 2_000_000
+MAX_TOKENIZER_BYTES = 256 << 20
+KEPT_TOKENIZERS = 2
+_LOADED: dict = {}  # of this worker: content digest -> parsed tokenizer, last used last
 
 
 def _c(c) -> Column:
@@ -54,13 +61,46 @@ CODEPOINT = Tokenizer("codepoint", codepoint_ids)
 UTF8 = Tokenizer("utf8", utf8_byte_ids)
 
 
-def file_tokenizer(path: str, add_special_tokens: bool = False) -> Tokenizer:
-    """External ``tokenizers`` JSON file, applied in Arrow batches on the executors."""
+def _file_content(path: str, max_bytes: int) -> bytes:
+    """The file's bytes: from the driver's own disk if it is there, else through Spark's reader (any store that Spark knows)."""
+    if os.path.exists(path):
+        size = os.path.getsize(path)
+        read = Path(path).read_bytes
+    else:
+        files = SparkSession.active().read.format("binaryFile").load(path)
+        size = files.agg(F.sum("length")).first()[0] or 0
+        read = lambda: bytes(files.select("content").first()[0])
+    if not 0 < size <= max_bytes:
+        raise ValueError(f"{path}: {size} bytes; a tokenizer file has 1 to {max_bytes}")
+    return read()
+
+
+def _loaded(digest: str, content: bytes):
+    """The tokenizer of that content, parsed once per worker; the two used last are kept."""
+    tok = _LOADED.pop(digest, None)
+    if tok is None:
+        from tokenizers import Tokenizer as HFTokenizer
+        tok = HFTokenizer.from_buffer(content)
+        while len(_LOADED) >= KEPT_TOKENIZERS:
+            _LOADED.pop(next(iter(_LOADED)))
+    _LOADED[digest] = tok
+    return tok
+
+
+def file_tokenizer(path: str, add_special_tokens: bool = False, max_bytes: int = MAX_TOKENIZER_BYTES) -> Tokenizer:
+    """External ``tokenizers`` JSON file, applied in Arrow batches on the executors.
+
+    The driver reads the file when this is called (at most ``max_bytes``) and sends its content as a broadcast variable, so no
+    executor needs the path. Workers keep the parsed tokenizer by content, across tasks and queries. Null text encodes as ''.
+    """
+    content = _file_content(path, max_bytes)
+    digest = hashlib.sha256(content).hexdigest()
+    shipped = SparkSession.active().sparkContext.broadcast(content)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from tokenizers import Tokenizer as HFTokenizer  # loaded once per worker
-        tok = HFTokenizer.from_file(path)
+        from parley.functions import tokenize
+        tok = tokenize._loaded(digest, shipped.value)
         for s in batches:
             enc = tok.encode_batch(s.fillna("").tolist(), add_special_tokens=add_special_tokens)
             yield pd.Series([e.ids for e in enc])
@@ -78,16 +118,11 @@ def decode_ids(df: DataFrame, ids_col: str, pieces: DataFrame, key: str = "ex_id
                sep: str = "") -> DataFrame:
     """(key, text): the pieces of the ids, in order.
 
-    Row by row, on a batch or a stream, when the piece table's counted size allows it to be sent to the executors; else (batch only) ids are joined
-    and rows regrouped by a generated number. Unknown and null ids decode to ''; null arrays to ''.
+    Row by row, on a batch or a stream, when the piece table's counted size allows it to be sent to the executors; else (batch only) through
+    the distinct ids of blocks of rows. Unknown and null ids decode to ''; null arrays to ''.
     """
-    from parley.operators.lookup import compile_lookup, decoded
+    from parley.operators.lookup import compile_lookup, decoded, decoded_by_blocks
     lookup = compile_lookup(pieces, "token_id", "piece", MAX_PIECES)
     if lookup is not None:
         return df.select(key, F.coalesce(decoded(F.col(ids_col), lookup, sep), F.lit("")).alias("text"))
-    rows = df.select(key, ids_col, F.monotonically_increasing_id().alias("_rid")).checkpoint()
-    ex = rows.select("_rid", F.posexplode(ids_col).alias("pos", "token_id"))
-    j = ex.join(pieces.groupBy("token_id").agg(F.min("piece").alias("piece")), "token_id", "left")
-    g = j.groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("piece", F.lit("")).alias("p")))).alias("_s"))
-    out = g.select("_rid", F.array_join(F.transform("_s", lambda s: s["p"]), sep).alias("text"))
-    return rows.join(out, "_rid", "left").select(key, F.coalesce("text", F.lit("")).alias("text"))
+    return decoded_by_blocks(df.select(key, ids_col), ids_col, pieces, "token_id", "piece", "text", sep).select(key, "text")

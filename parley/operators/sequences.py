@@ -2,7 +2,7 @@
 (PF16, PF17, SQ4-SQ7, SQ11) and OOV audits (PF15, AG3, AG8, W10).
 
 Maps within ``lookup.MAX_MAP_ROWS`` are looked up row by row (``parley.operators.lookup``): no shuffle, and the same functions run on a
-streaming DataFrame. Larger ones are joined: ids are exploded, joined and regrouped by a generated row number, so rows of equal key stay apart.
+streaming DataFrame. Larger ones are joined with the distinct ids of blocks of rows (``lookup.mapped_by_blocks``), so rows of equal key stay apart.
 """
 from __future__ import annotations
 
@@ -43,30 +43,12 @@ def with_remapped(df: DataFrame, columns: dict[str, str], vmap: DataFrame, unk:
     lookup = L.compile_lookup(vmap, src, dst)
     if lookup is None:
         for c, out in columns.items():
-            df = _remap_by_join(df, c, vmap, src, dst, unk, out, inverse)
+            df = L.mapped_by_blocks(df, c, vmap, src, dst, out, unk, inverse)
         return df
     none = F.array().cast("array<int>")
     return df.withColumns({out: F.coalesce(L.mapped(F.col(c), lookup, unk, inverse), none) for c, out in columns.items()})
 
 
-def _remap_by_join(df: DataFrame, ids_col: str, vmap: DataFrame, src: str, dst: str, unk: int | None, out_col: str, inverse: bool) -> DataFrame:
-    """The join form for maps beyond the bound (batch only): one row number for each row, ids joined, regrouped by the number."""
-    if df.isStreaming:
-        raise ValueError("a stream can be remapped only through a map within the broadcast bound")
-    rows = df.select(F.struct(*df.columns).alias("_row"), F.monotonically_increasing_id().alias("_rid")).checkpoint()
-    ex = rows.select("_rid", F.posexplode(f"_row.{ids_col}").alias("_pos", "_k")).filter(F.col("_k").isNotNull())
-    m = vmap.filter(F.col(dst).isNotNull()).groupBy(F.col(src).alias("_k")).agg(F.min(dst).alias("_v"))
-    j = ex.join(m, "_k", "left")
-    if inverse:
-        v = F.when(F.col("_v").isNull(), F.raise_error(F.concat(F.lit("unknown new id "), F.col("_k").cast("string"))).cast("int")).otherwise(F.col("_v"))
-    else:
-        v = F.col("_v") if unk is None else F.coalesce("_v", F.lit(int(unk)))
-    item = F.when(v.isNotNull(), F.struct(F.col("_pos").alias("p"), v.alias("v")))
-    g = j.groupBy("_rid").agg(F.array_sort(F.collect_list(item)).alias("_s"))
-    done = F.coalesce(F.transform("_s", lambda s: s["v"]).cast("array<int>"), F.array().cast("array<int>"))
-    return rows.join(g, "_rid", "left").select("_row.*", done.alias("_done")).withColumn(out_col, F.col("_done")).drop("_done")
-
-
 def remap_ids_arrow(df: DataFrame, ids_col: str, vmap: DataFrame, unk: int | None = None,
                     out_col: str | None = None, inverse: bool = False, key: str | None = None) -> DataFrame:
     """SQ1 / SQ2 as a further (or replaced) column of ``df``, with the rules of ``remap_ids``."""
@@ -139,7 +121,7 @@ def export_remap(df: DataFrame, vmap: DataFrame, oov_new: int, key: str = "ex_id
     marked = vmap.select("old_id", "new_id").unionByName(vmap.sparkSession.sql(f"select {IGNORE} as old_id, {IGNORE} as new_id"))
     out = df.select(key, *[F.transform(c, lambda x: F.coalesce(x, F.lit(-(1 << 31)))).alias(c) for c in (inputs, labels)])  # null ids are unknown ones
     for c in (inputs, labels):
-        out = _remap_by_join(out, c, marked, "old_id", "new_id", oov_new, c, False)
+        out = L.mapped_by_blocks(out, c, marked, "old_id", "new_id", c, oov_new)
     return out
 
 

@@ -5,6 +5,11 @@ Weight matrices are tables of (row_id, vec array<float>); a neuron / token is a
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +39,33 @@ def select_neurons(a: DataFrame, b: DataFrame, keep: int, id_col: str = "row_id"
 
 
 # ---------------------------------------------------------------- EV6
+def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for a task: for each position the sum of absolute values and the number of values, over all vectors of the task."""
+    sums, counts = np.zeros(0), np.zeros(0, np.int64)
+    for b in batches:
+        lists = b.column(0)
+        flat = pc.list_flatten(lists).cast(pa.float64())
+        row = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
+        pos = np.arange(len(row)) - np.searchsorted(row, row)  # rows are in order: the place of a row's first value
+        there = ~np.asarray(flat.is_null())
+        pos, value = pos[there], np.abs(flat.drop_null().to_numpy(zero_copy_only=False))
+        width = max(len(sums), int(pos.max()) + 1 if len(pos) else 0)
+        sums, counts = (np.pad(x, (0, width - len(x))) for x in (sums, counts))
+        sums += np.bincount(pos, value, width)
+        counts += np.bincount(pos, minlength=width)
+    if len(sums):
+        yield pa.RecordBatch.from_arrays([pa.array([sums], pa.list_(pa.float64())), pa.array([counts], pa.list_(pa.int64()))], names=["sums", "counts"])
+
+
 def activation_importance(acts: DataFrame, vec: str = "vec") -> DataFrame:
-    """EV6: mean |activation| per vector position over a calibration table: (pos, importance)."""
-    ex = acts.select(F.posexplode(vec).alias("pos", "_v"))
-    return ex.groupBy("pos").agg(F.avg(F.abs("_v")).alias("importance"))
+    """EV6: mean |activation| per vector position over a calibration table: (pos, importance).
+
+    Each task adds its vectors up in one partial row of the vectors' width; only those rows are shuffled, by position. Null vectors and null
+    values do not count; a position without a value has no row; vectors may differ in length; NaN makes its position NaN.
+    """
+    partial = acts.select(F.col(vec).cast("array<double>").alias(vec)).mapInArrow(_partial_sums, "sums array<double>, counts array<long>")
+    ex = partial.select(F.posexplode(F.arrays_zip("sums", "counts")).alias("pos", "_p")).filter(F.col("_p.counts") > 0)
+    return ex.groupBy("pos").agg((F.sum("_p.sums") / F.sum("_p.counts")).alias("importance"))
 
 
 def top_importance(imp: DataFrame, k: int) -> DataFrame:

@@ -126,3 +126,19 @@ def test_activation_importance(spark):
     imp = {r.pos: r.importance for r in VE.activation_importance(acts).collect()}
     assert imp == {0: 1.0, 1: 2.0, 2: 0.25}
     assert [r.pos for r in VE.top_importance(VE.activation_importance(acts), 2).collect()] == [1, 0]
+
+
+def test_importance_ragged_null_and_empty(spark):
+    rows = [([1.0, -2.0, None],), ([3.0],), (None,), ([],), ([-5.0, 4.0, None, 7.0],)]
+    acts = spark.createDataFrame(rows, "vec array<float>").repartition(3)
+    assert {r.pos: r.importance for r in VE.activation_importance(acts).collect()} == {0: 3.0, 1: 3.0, 3: 7.0}
+    assert VE.activation_importance(acts.limit(0)).count() == 0
+
+
+def test_importance_shuffles_one_row_for_each_task(spark):
+    acts = spark.range(4000, numPartitions=4).select(F.array([(F.col("id") * j - 900).cast("float") for j in range(8)]).alias("vec"))
+    partial = acts.mapInArrow(VE._partial_sums, "sums array<double>, counts array<long>")
+    assert partial.count() == 4
+    want = acts.select(F.posexplode("vec").alias("pos", "v")).groupBy("pos").agg(F.avg(F.abs("v")).alias("m"))
+    got = {r.pos: r.importance for r in VE.activation_importance(acts).collect()}
+    assert got == pytest.approx({r.pos: r.m for r in want.collect()})

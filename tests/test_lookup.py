@@ -107,3 +107,25 @@ def test_empty_tables(spark, vmap):
     one = spark.createDataFrame([(1, [2, 4], [2], [0.5, 0.1])], SCHEMA)
     none = vmap.filter("false")
     assert S.remap_ids(one, "ids", none, "k").first().ids == [] and S.export_remap(one, none, 8, "k", "ids", "labels").first().ids == [8, 8]
+
+
+def test_blocks_shuffle_distinct_ids_only(spark, rows, vmap, monkeypatch):
+    """Many small blocks give the rows of one lookup, and what goes to the map is each block's distinct ids."""
+    want = sorted(map(str, S.remap_ids(spark.createDataFrame(rows, SCHEMA), "ids", vmap, key="k", unk=-1).collect()))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    monkeypatch.setattr(L, "MAX_MAP_ROWS", 3)
+    for block in (1, 64, 1 << 20):
+        monkeypatch.setattr(L, "BLOCK_TOKENS", block)
+        got = S.remap_ids(df, "ids", vmap, key="k", unk=-1)
+        assert sorted(map(str, got.collect())) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan and "collect_list" not in plan
+    assert "Aggregate [__block" in plan and plan.index("Aggregate [__block") < plan.index("Generate explode")  # distinct before the exchange
+
+
+def test_blocks_of_an_empty_table_and_map(spark, rows, vmap, monkeypatch):
+    monkeypatch.setattr(L, "MAX_MAP_ROWS", -1)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert S.remap_ids(df.limit(0), "ids", vmap, key="k").count() == 0
+    assert {tuple(r.ids) for r in S.remap_ids(df, "ids", vmap.limit(0), key="k").collect()} == {()}
+    assert {r.text for r in decode_ids(df, "ids", spark.createDataFrame([], "token_id int, piece string"), "k").collect()} == {""}

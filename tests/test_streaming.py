@@ -64,5 +64,37 @@ def test_continuous_profile_equals_batch_after_several_versions(spark, tmp_out):
 
 
 def test_latest_of_no_rows(spark, tmp_out):
-    spark.createDataFrame([], "direction string, n long").write.parquet(tmp_out + "/t/version=0")
-    assert SC.latest(spark, tmp_out + "/t").count() == 0
+    spark.createDataFrame([], "direction string, n long").write.parquet(tmp_out + "/t/kind=delta/version=0")
+    assert SC.latest(spark, tmp_out + "/t", ["direction"]).count() == 0
+
+
+def _delta(spark, lo, hi, v):
+    return spark.range(lo, hi).select(F.when(F.col("id") > 0, F.col("id")).alias("token_id"), F.lit(v).cast("long").alias("freq"))
+
+
+def test_deltas_follow_the_changed_keys(spark, tmp_out):
+    path = tmp_out + "/token_freq"
+    write = SC._delta_sink(path, ["token_id"], 50)
+    want = {}
+    for i, (lo, hi) in enumerate([(0, 1000), (0, 10), (5, 20), (990, 1005), (0, 1)]):  # key 0 stands as null
+        write(_delta(spark, lo, hi, i), i)
+        want |= {k or None: i for k in range(lo, hi)}
+        assert dict(map(tuple, SC.latest(spark, path).collect())) == want
+    written = {tuple(r)[:2]: r["count"] for r in spark.read.parquet(path).groupBy("kind", "version").count().collect()}
+    assert written == {("delta", 0): 1000, ("base", 0): 1000, ("delta", 1): 10, ("delta", 2): 15, ("delta", 3): 15, ("delta", 4): 1}
+    write(_delta(spark, 0, 1, 4), 4)  # a replay
+    assert dict(map(tuple, SC.latest(spark, path).collect())) == want
+    write(_delta(spark, 0, 1200, 5), 5)
+    write(_delta(spark, 3, 4, 6), 6)
+    assert SC.drop_old(spark, path) == 1  # the first delta, which the first base holds
+    assert dict(map(tuple, SC.latest(spark, path).collect())) == {k or None: 6 if k == 3 else 5 for k in range(1200)}
+
+
+def test_few_deltas_between_bases(spark, tmp_out):
+    path = tmp_out + "/token_freq"
+    write = SC._delta_sink(path, ["token_id"], 3)
+    for i in range(7):
+        write(_delta(spark, 1, 100 if i == 0 else 2, i), i)
+    bases = spark.read.parquet(path).filter("kind = 'base'").select("version").distinct().collect()
+    assert sorted(r[0] for r in bases) == [0, 3, 6]
+    assert SC.latest(spark, path).filter("freq = 6").count() == 1 and SC.latest(spark, path).count() == 99

@@ -201,3 +201,28 @@ def test_file_tokenizer_in_arrow_batches(spark, tmp_out):
     assert [r.ids for r in df.select(tok.encode(F.col("text")).alias("ids")).collect()] == [[1, 2], [1, 0], []]
     freq = {r.token_id: r.freq for r in V.token_freq(df, tok).collect()}
     assert freq == {1: 2, 2: 1, 0: 1}
+
+
+def test_file_tokenizer_needs_no_path_on_executors(spark, tmp_out):
+    import os
+    from tokenizers import Tokenizer as HF, models, pre_tokenizers
+    from parley.functions.tokenize import file_tokenizer
+    df = spark.createDataFrame([("hello world",), (None,)], "text string")
+    got = []
+    for i, name in enumerate(["a.json", "b.json", "c.json", "a.json"]):  # more contents than a worker keeps, one path used again
+        t = HF(models.WordLevel({"[UNK]": 0, "hello": 10 + i, "world": 20 + i}, unk_token="[UNK]"))
+        t.pre_tokenizer = pre_tokenizers.Whitespace()
+        t.save(f"{tmp_out}/{name}")
+        tok = file_tokenizer(f"{tmp_out}/{name}")
+        os.remove(f"{tmp_out}/{name}")
+        got.append([r.ids for r in df.select(tok.encode(F.col("text")).alias("ids")).collect()])
+    assert got == [[[10 + i, 20 + i], []] for i in range(4)]
+
+
+def test_file_tokenizer_of_a_size_out_of_bounds(spark, tmp_out):
+    from parley.functions.tokenize import file_tokenizer
+    for content in ("", "x" * 101):
+        with open(f"{tmp_out}/t.json", "w") as f:
+            f.write(content)
+        with pytest.raises(ValueError, match="bytes"):
+            file_tokenizer(f"{tmp_out}/t.json", max_bytes=100)
