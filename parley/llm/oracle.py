@@ -36,9 +36,12 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)"""
 
 SQL["op10_warc"] = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
-q AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, upper(sha1(h)) AS hex, max(page_id) OVER (PARTITION BY h) AS newest FROM p)
-SELECT page_id, payload_bytes,
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, regexp_replace(regexp_replace(url, '#.*$', '', 's'), '^.*?://', '', 's') AS rest FROM pages),
+k AS (SELECT *, regexp_extract(rest, '^[^/?]*') AS host FROM p),
+u AS (SELECT *, coalesce(array_to_string(list_reverse(string_split(regexp_replace(lower(host), '^www[.]', ''), '.')), ',') || ')'
+                         || coalesce(nullif(substr(rest, length(host) + 1), ''), '/'), '-') AS urlkey FROM k),
+q AS (SELECT page_id, urlkey, row_number() OVER (ORDER BY urlkey, page_id) - 1 AS history_pos, strlen(h)::BIGINT AS payload_bytes, upper(sha1(h)) AS hex, max(page_id) OVER (PARTITION BY h) AS newest FROM u)
+SELECT page_id, payload_bytes, urlkey, history_pos,
        array_to_string(['ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((('0x' || hex[(i // 4) * 5 + 1:(i // 4) * 5 + 5])::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1]
                         for i in range(0, 32)], '') AS payload_digest,
        CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,

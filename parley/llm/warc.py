@@ -1,11 +1,14 @@
 """Operator 10, WARC archives and their merged capture index.
 
 * Writing. Records of equal payload (SHA-1 and length) are judged by one grouping: the largest page id is the ``response``, the others are
-  ``revisit`` records that name it and carry no payload. Payloads under ``min_bytes`` are always responses. Each task writes archive files of
-  bounded rows through Spark's writer into the shared folder: complete WARC/1.1 records, gzip-compressed by file.
-* Reading. Files are read as whole binaries of bounded size and parsed by Content-Length; digests are computed anew from what was read.
-* Index. Every archive file yields a capture run, sorted by (URL key, timestamp, page id). Runs are range-partitioned by that key, and each
-  range merges its parts of the runs with a loser tree, which gives the globally ordered capture history: ``seq`` within ``part``.
+  ``revisit`` records that name it and carry no payload. Payloads under ``min_bytes`` are always responses. Each task writes archive files
+  through Spark's writer into the shared folder: complete WARC/1.1 records, gzip-compressed by file. A file ends with the record that fills it to
+  ``file_bytes`` (or ``rows_per_file``), so only a single longer record makes a longer file.
+* Reading. A file's compressed bytes are inflated piece by piece and parsed by Content-Length, so one record at a time is held, however
+  long it is; digests are computed anew from what was read.
+* Index. Every archive file yields a capture run, sorted by (URL key, timestamp, page id). Runs are range-partitioned by that key, in ranges
+  of about ``range_rows`` captures, and each range merges its parts of the runs, in the order they come, with a loser tree. This gives the globally
+  ordered capture history: ``seq`` within ``part``, and ``history_pos`` over all.
 
 The timestamp is a base time plus the page id in seconds, since pages carry none. Null html is an empty payload, a null url the key ``-``.
 Null page ids sort first, and are written as an empty id. Repeated rows each give a record and a row; rows equal in id and payload are each a
@@ -16,16 +19,21 @@ from __future__ import annotations
 import base64
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
 from parley.llm import common as C
 from parley.session import scratch_path
 
-ROWS_PER_FILE = 2_000
+FILE_BYTES = 64 << 20
+ROWS_PER_FILE = 50_000
+RANGE_ROWS = 200_000
+STEP_BYTES = 1 << 20
 BASE_TIME = "2024-01-01 00:00:00"
 INDEX = "urlkey string, timestamp string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, uri string, archive string, offset long"
 
@@ -103,8 +111,8 @@ def _urn(page_id: Column) -> Column:
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0,
-                   rows_per_file: int = ROWS_PER_FILE) -> None:
-    """One WARC record for each row; files end on whole records."""
+                   rows_per_file: int = ROWS_PER_FILE, file_bytes: int = FILE_BYTES) -> None:
+    """One WARC record for each row; files end on whole records, and are cut by their bytes before compression."""
     d = judged(pages, id_col, url_col, html_col, min_bytes)
     revisit = F.col("refers_to").isNotNull()
     date = F.date_format(F.lit(BASE_TIME).cast("timestamp") + F.make_dt_interval(secs=F.coalesce("page_id", F.lit(0)).cast("decimal(18,6)")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -115,20 +123,63 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         ("WARC-Payload-Length", F.col("bytes").cast("string")), ("Content-Type", F.lit("text/html; charset=utf-8")),
         ("Content-Length", F.when(revisit, "0").otherwise(F.col("bytes").cast("string"))))
     record = F.concat(head, F.when(revisit, "").otherwise(F.col("html")))
-    (d.select(record.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip")
+    cut = d.select(record.alias("value")).mapInArrow(_with_cut(file_bytes), "value string, cut long")
+    (cut.write.partitionBy("cut").option("lineSep", "\r\n\r\n").option("compression", "gzip")
      .option("maxRecordsPerFile", rows_per_file).text(folder))
 
 
-def parse_archive(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, headers, content block) of each record; offsets are in the uncompressed file."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8").split("\r\n")
-        fields = dict(line.split(": ", 1) for line in lines[1:])
-        size = int(fields["Content-Length"])
-        yield at, fields, data[end + 4:end + 4 + size]
-        at = end + 4 + size + 4
+def _with_cut(file_bytes: int):
+    """Numbers a task's files: a record belongs to the file in whose ``file_bytes`` it starts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = 0
+        for b in batches:
+            sizes = pc.binary_length(b.column(0)).to_numpy(zero_copy_only=False).astype(np.int64) + 4
+            starts = before + np.cumsum(sizes) - sizes
+            before += int(sizes.sum())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(starts // file_bytes)], names=["value", "cut"])
+    return run
+
+
+def inflated(data: bytes, step: int = STEP_BYTES) -> Iterator[bytes]:
+    """The content of gzip members in pieces of at most ``step`` bytes."""
+    while data:
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            piece = member.decompress(data, step)
+            data = member.unconsumed_tail
+            if piece:
+                yield piece
+            elif not data and not member.eof:
+                raise ValueError("the archive ends inside a gzip member")
+        data = member.unused_data
+
+
+def parse_archive(pieces: Iterable[bytes]) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """(offset, headers, content block) of each record of an archive given in pieces; offsets are in the uncompressed file."""
+    pieces, held, at = iter(pieces), bytearray(), 0
+
+    def more() -> None:
+        piece = next(pieces, None)
+        if piece is None:
+            raise ValueError(f"the archive ends inside the record at {at}")
+        held.extend(piece)
+
+    for piece in pieces:
+        held.extend(piece)
+        while held:
+            seen = 0
+            while (end := held.find(b"\r\n\r\n", seen)) < 0:
+                seen = max(0, len(held) - 3)
+                more()
+            lines = held[:end].decode("utf-8").split("\r\n")
+            fields = dict(line.split(": ", 1) for line in lines[1:])
+            size = int(fields["Content-Length"])
+            stop = end + 4 + size + 4
+            while len(held) < stop:
+                more()
+            yield at, fields, bytes(held[end + 4:end + 4 + size])
+            del held[:stop]
+            at += stop
 
 
 def _id(urn: str | None) -> int | None:
@@ -146,9 +197,9 @@ def _read_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         ("record_type", pa.string()), ("refers_to", pa.int64()), ("uri", pa.string()), ("archive", pa.string()), ("offset", pa.int64())])
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            name = path.rsplit("/", 1)[-1]
+            name = "/".join(path.rsplit("/", 2)[1:])  # files of one task differ by their folder
             run = []
-            for offset, h, block in parse_archive(zlib.decompress(content.as_py(), 31)):
+            for offset, h, block in parse_archive(inflated(content.as_py())):
                 revisit = h["WARC-Type"] == "revisit"
                 digest = base64.b32encode(bytes.fromhex(h["WARC-Payload-Digest"][5:])) if revisit else base64.b32encode(hashlib.sha1(block).digest())
                 uri = h.get("WARC-Target-URI")
@@ -160,22 +211,26 @@ def _read_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One range of keys: its parts of all runs, each in order, merged by the loser tree."""
-    runs: dict[str, list[dict]] = {}
-    schema, part = None, 0
+    """One range of keys: its parts of all runs merged by the loser tree.
+
+    The shuffle keeps the order of what one task sent, so a run's part comes in order and is not sorted again; where a row is not
+    after the one before it (as where a part came in several blocks), another run starts."""
+    runs: list[list[dict]] = []
+    schema, last = None, None
     for b in batches:
         schema = b.schema
         for r in b.to_pylist():
-            runs.setdefault(r["archive"], []).append(r)
-            part = r["part"]
+            key = _run_key(r)
+            if last is None or key < last:
+                runs.append([])
+            runs[-1].append(r)
+            last = key
     out, seq = [], 0
     if schema is None:
         return
     schema = schema.append(pa.field("seq", pa.int64()))
-    for run in runs.values():
-        run.sort(key=_run_key)  # a shuffle may deliver a run's rows in several blocks
-    for r in LoserTree(list(runs.values()), _run_key):
-        out.append(r | {"seq": seq, "part": part})
+    for r in LoserTree(runs, _run_key):
+        out.append(r | {"seq": seq})
         seq += 1
         if len(out) == 5000:
             yield pa.RecordBatch.from_pylist(out, schema)
@@ -188,11 +243,17 @@ def read_runs(spark: SparkSession, folder: str) -> DataFrame:
     return files.mapInArrow(_read_runs, INDEX)
 
 
-def merged_index(spark: SparkSession, folder: str, partitions: int | None = None) -> DataFrame:
-    """All captures of the archives in ``folder`` in global order of (part, seq), which is that of (urlkey, timestamp, page_id)."""
+def merged_index(spark: SparkSession, folder: str, partitions: int | None = None, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """All captures of the archives in ``folder`` in global order of (part, seq), which is that of (urlkey, timestamp, page_id); ``history_pos``
+    counts them from 0 over all parts."""
     runs = read_runs(spark, folder).checkpoint()
-    ranged = runs.repartitionByRange(partitions or C.partitions(spark), "urlkey", "timestamp", "page_id").withColumn("part", F.spark_partition_id())
-    return ranged.mapInArrow(_merge_runs, INDEX + ", part int, seq long")
+    ranges = partitions or max(C.partitions(spark), -(-runs.count() // range_rows))
+    ranged = runs.repartitionByRange(ranges, "urlkey", "timestamp", "page_id").withColumn("part", F.spark_partition_id())
+    merged = ranged.mapInArrow(_merge_runs, INDEX + ", part int, seq long").checkpoint()
+    # One row for each range
+    sizes = merged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("before"))
+    return merged.join(F.broadcast(before), "part").select(*merged.columns, (F.col("before") + F.col("seq")).alias("history_pos"))
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0) -> DataFrame:

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import random
 import zlib
@@ -462,9 +463,40 @@ def test_warc_round_trip(spark):
     assert sorted([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got], key=str) == sorted(want, key=str)
     order = [(r.urlkey, r.timestamp) for r in sorted(got, key=lambda r: (r.part, r.seq))]
     assert order == sorted(order)
+    assert [r.history_pos for r in sorted(got, key=lambda r: (r.part, r.seq))] == list(range(len(rows)))
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_files_are_cut_by_bytes(spark, tmp_out):
+    """3,000 pages of 100 KB: no file holds more than its bytes and one record, and every capture comes back in order."""
+    pages = spark.range(3000, numPartitions=2).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), F.col("id") % 7, F.lit(".org/p")).alias("url"),
+                                                      F.concat(F.col("id").cast("string"), F.lit("é" * 50_000)).alias("html"))
+    warc.write_archives(pages, tmp_out + "/w", file_bytes=20 << 20)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(tmp_out + "/w").select("content").collect()
+    sizes = [sum(map(len, warc.inflated(bytes(f.content)))) for f in files]
+    assert len(sizes) >= 15 and max(sizes) <= (20 << 20) + 101_000 and sum(sizes) > 300e6
+    got = warc.merged_index(spark, tmp_out + "/w", range_rows=100).orderBy("history_pos").collect()
+    assert [r.history_pos for r in got] == list(range(3000)) and max(r.seq for r in got) < 1000
+    assert [(r.urlkey, r.page_id) for r in got] == sorted((f"org,h{i % 7})/p", i) for i in range(3000))
+    assert {r.payload_bytes - len(str(r.page_id)) for r in got} == {100_000}
+
+
+def test_archives_are_parsed_in_pieces():
+    records = [("é" * n).encode() + b"\r\n\r\n" for n in (0, 1, 50, 3000)]
+    data = b"".join(b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(x), x) for x in records)
+    packed = gzip.compress(data[:100]) + gzip.compress(data[100:])
+    for step in (1, 3, 64, 1 << 20):
+        got = list(warc.parse_archive(warc.inflated(packed, step)))
+        assert [x for _, _, x in got] == records
+        assert all(data[at:].startswith(b"WARC/1.1") for at, _, _ in got)
+    for cut in (len(packed) - 1, len(packed) // 2):
+        with pytest.raises((ValueError, zlib.error)):
+            list(warc.parse_archive(warc.inflated(packed[:cut])))
+    with pytest.raises(ValueError, match="inside the record"):
+        list(warc.parse_archive([data[:-5]]))
+    assert list(warc.parse_archive(warc.inflated(b""))) == []
+
+
 def test_loser_tree():
     r = random.Random(4)
     for k in (0, 1, 2, 3, 7, 16):
