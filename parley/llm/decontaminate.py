@@ -6,10 +6,11 @@ DataFrame expressions only.
    one row with their item ids.
 2. Term counts of the test vocabulary over all documents; each window's terms are ranked from the rarest. A window with a
    term that no document holds cannot occur and is dropped.
-3. Postings (term, document, position, surrounding words) are stored for the rarest term of each window, in one scan for each
-   ``TERMS_PER_SCAN`` terms (the benchmark is the stated query set, taken in blocks).
-4. Posting lists are intersected after adjusting by the term's offset: the next rarest term must stand at its own offset (within
-   ``slop`` for proximity), then the whole window is compared with the words around the posting (phrase).
+3. Postings (term, document, position) of the rarest and the next rarest term of each window are stored as a table in the shared folder, in
+   one scan for each ``TERMS_PER_SCAN`` terms (the benchmark is the stated query set, taken in blocks). Those of rarest terms carry the
+   words around them.
+4. Lists are intersected in a join: a posting of the rarest term, moved by the difference of the two offsets, must stand in the list of the next
+   rarest term (proximity: within ``slop`` places). Of what is left, the whole window is compared with the stored words (phrase).
 
 Words are runs of ASCII letters and digits and of all characters beyond ASCII, A-Z lower-cased. Null or empty text has no words
 and no hits; null items and items without words have no windows. Repeated rows each return a row. Empty benchmark: nothing is hit.
@@ -17,13 +18,13 @@ Null item ids count as the text ``null``.
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm import common as C
 from parley.llm.common import let
+from parley.operators.common import broadcast_if_small
+from parley.session import scratch_path
 
 SIZE = 10
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -63,33 +64,44 @@ def ranked_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
                                            F.col("b.term").alias("term2"), F.col("b.offset").alias("offset2")).checkpoint()
 
 
-def postings(docs: DataFrame, terms: list[str], reach: int) -> DataFrame:
-    """(key_id, key_text, term, pos, first, around): positions of ``terms`` with the words up to ``reach`` places to either side."""
+def postings(docs: DataFrame, terms: list[str], rarest: list[str], reach: int) -> DataFrame:
+    """(key_id, key_text, term, pos, first, around): positions of ``terms``, those of ``rarest`` with the words up to ``reach`` places to either side."""
     def store(a: Column) -> Column:
         at = F.array_compact(F.transform(a, lambda w, i: F.when(w.isin(terms), i)))
         return F.transform(at, lambda p: F.struct(F.element_at(a, p + 1).alias("term"), p.alias("pos"), F.greatest(p - reach, F.lit(0)).alias("first"),
-                                                  F.slice(a, F.greatest(p - reach, F.lit(0)) + 1, 2 * reach + 1).alias("around")))
+                                                  F.when(F.element_at(a, p + 1).isin(rarest), F.slice(a, F.greatest(p - reach, F.lit(0)) + 1, 2 * reach + 1)).alias("around")))
     return docs.select(*C.KEYS, F.explode(let(word_array(F.col("text")), store)).alias("p")).select(*C.KEYS, "p.*")
 
 
+def stored_index(docs: DataFrame, windows: DataFrame, reach: int) -> DataFrame:
+    """The postings of every ranked window's two terms, written to a new folder beside the checkpoints and read back."""
+    spark = docs.sparkSession
+    both = F.explode(F.array(F.struct(F.col("term").alias("t"), F.lit(True).alias("rarest")), F.struct(F.col("term2").alias("t"), F.lit(False).alias("rarest"))))
+    chosen = windows.select(both.alias("c")).groupBy("c.t").agg(F.max("c.rarest").alias("rarest")).orderBy("t").collect()  # at most the benchmark's words
+    blocks = [chosen[i:i + TERMS_PER_SCAN] for i in range(0, len(chosen), TERMS_PER_SCAN)] or [[]]
+    folder = scratch_path(spark, "postings")
+    for block in blocks:
+        postings(docs, [r["t"] for r in block], [r["t"] for r in block if r["rarest"]], reach).write.mode("append").parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: int | None = None, item_col: str = "item_id",
             item_text: str = "text") -> DataFrame:
     """(key_id, key_text, start, length, items) of exact phrase matches in keyed ``docs``; with ``slop`` also proximity matches,
     where the next rarest term stands within ``slop`` words of its place, told apart by the column ``phrase``."""
     windows = ranked_windows(docs, test_windows(benchmark, size, item_col, item_text))
-    terms = [r[0] for r in windows.select("term").distinct().orderBy("term").collect()]  # at most the benchmark's words
-    reach = size - 1 + (slop or 0)
-    blocks = [terms[i:i + TERMS_PER_SCAN] for i in range(0, len(terms), TERMS_PER_SCAN)] or [[]]
-    index = reduce(DataFrame.unionByName, [postings(docs, b, reach) for b in blocks])
-    hit = index.join(C.small_side(windows, BROADCAST_ROWS), "term").withColumn("start", F.col("pos") - F.col("offset"))
+    index = stored_index(docs, windows, size - 1 + (slop or 0))
+    hit = index.filter("around is not null").join(broadcast_if_small(windows, BROADCAST_ROWS), "term").withColumn("start", F.col("pos") - F.col("offset"))
     place = F.col("start") - F.col("first")
-    whole = (F.col("start") >= 0) & (F.get(F.col("around"), place + F.col("offset2")) == F.col("term2")) & (
-        F.slice("around", F.greatest(place, F.lit(0)) + 1, F.size("window")) == F.col("window"))
+    phrase = (F.col("start") >= 0) & (F.slice("around", F.greatest(place, F.lit(0)) + 1, F.size("window")) == F.col("window"))
     columns = [*C.KEYS, "start", F.size("window").alias("length"), "items"]
+    other = index.select(*C.KEYS, F.col("term").alias("term2"), F.col("pos").alias("pos2")).distinct()
+    due = F.col("start") + F.col("offset2")
     if slop is None:
-        return hit.filter(whole).select(*columns)
-    near = F.array_contains(F.slice("around", F.greatest(place + F.col("offset2") - slop, F.lit(0)) + 1, 2 * slop + 1), F.col("term2"))
-    return hit.filter(near).select(*columns, F.coalesce(whole, F.lit(False)).alias("phrase"))
+        at = hit.filter("start >= 0").withColumn("pos2", due)
+        return at.join(other, [*C.KEYS, "term2", "pos2"], "left_semi").filter(phrase).select(*columns)
+    at = hit.withColumn("pos2", F.explode(F.sequence(due - slop, due + slop)))
+    return at.join(other, [*C.KEYS, "term2", "pos2"], "left_semi").select(*columns, phrase.alias("phrase")).distinct()
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:

@@ -168,6 +168,23 @@ def test_decontamination(spark, rows):
     assert decontaminate.decontaminate(frame(spark, rows), benchmark.limit(0)).filter("contaminated").count() == 0
 
 
+def test_intersected_postings_on_a_small_vocabulary(spark):
+    """Every word is in most lists, so lists of a window's two rarest terms cross often without its phrase; rows and ids repeat."""
+    r = random.Random(8)
+    rows = [(r.choice([None, i]), " ".join(r.choice("abcde") for _ in range(r.randint(0, 25)))) for i in range(120)]
+    rows += rows[:7]
+    items = [(i, " ".join(r.choice("abcdef") for _ in range(r.randint(1, 6)))) for i in range(12)]
+    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.decontaminate(docs, benchmark, size=4)
+    got = got.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_list", ","), 256).alias("s"), "contaminated").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute.contaminated(rows, items, 4), key=str)
+    from parley.llm.common import keyed
+    exact = decontaminate.matches(keyed(docs), benchmark, 4).distinct()
+    near = decontaminate.matches(keyed(docs), benchmark, 4, slop=2)
+    assert near.count() == near.distinct().count() > exact.count()
+    assert sorted(map(str, near.filter("phrase").drop("phrase").collect())) == sorted(map(str, exact.collect()))
+
+
 def test_proximity_matches(spark):
     benchmark = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "x alpha beta gamma delta y"), (2, "alpha so beta gamma delta"), (3, "alpha one two three four five beta gamma delta")], "doc_id long, text string")
