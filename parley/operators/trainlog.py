@@ -44,12 +44,13 @@ def moving_mean(steps: DataFrame, window: int = 50, run: str = "run", step: str
                 loss: str = "loss", chunk: int = 10_000) -> DataFrame:
     """Mean of the last ``window`` step losses (steps 0..n-1 per run).
 
-    Each run is cut into chunks of ``chunk`` steps, and each chunk also gets the
+    Each run is cut into chunks of ``chunk`` steps (``window`` steps if that is more), and each chunk also gets the
     last ``window - 1`` steps of the chunk before it, so the frame is local: a
     window by (run, chunk) of bounded size, one shuffle, no self-join. Finite
     losses are summed as DECIMAL(28, 12), which does not depend on order. A NaN or infinite loss makes every mean
     whose frame holds it non-finite, and no later one.
     """
+    chunk = max(chunk, window)
     at = F.floor(F.col(step) / chunk)
     late = (F.col(step) % chunk) > chunk - window   # the halo of the next chunk
     s = steps.select(run, step, loss, F.explode(F.when(late, F.array(at, at + 1)).otherwise(F.array(at))).alias("_chunk"))

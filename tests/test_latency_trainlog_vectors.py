@@ -142,3 +142,10 @@ def test_importance_shuffles_one_row_for_each_task(spark):
     want = acts.select(F.posexplode("vec").alias("pos", "v")).groupBy("pos").agg(F.avg(F.abs("v")).alias("m"))
     got = {r.pos: r.importance for r in VE.activation_importance(acts).collect()}
     assert got == pytest.approx({r.pos: r.m for r in want.collect()})
+
+
+def test_moving_mean_of_a_window_wider_than_the_chunk(spark):
+    steps = spark.createDataFrame([("r", i, float(i * i % 17)) for i in range(40)], "run string, step long, loss double")
+    want = {(r.step, r.avg_loss) for r in TL.moving_mean(steps, window=12).collect()}
+    assert {(r.step, r.avg_loss) for r in TL.moving_mean(steps, window=12, chunk=5).collect()} == want
+    assert dict(want)[39] == pytest.approx(sum(i * i % 17 for i in range(28, 40)) / 12)
