@@ -121,7 +121,7 @@ class Tree:
                     children = np.bincount(np.searchsorted(ids, below[0]), weights=below[1], minlength=len(ids))
                     total = np.logaddexp(own, children) - math.log(2)
                     weight = np.exp(np.clip(own - math.log(2) - total, -700, 0))
-                self.nodes[d, bits] = ids, weight.astype(np.float32), ((one + 0.5) / (n + 1)).astype(np.float32)
+                self.nodes[d, bits] = ids, weight.astype(np.float32), (one + 0.5) / (n + 1)  # single precision rounds to 1 from n = 2**24
                 below = ids & np.uint64((1 << (8 * max(d - 1, 0) + bits)) - 1), total
             up, inverse = np.unique(below[0], return_inverse=True)
             self.sums[bits] = up, np.bincount(inverse, weights=below[1], minlength=len(up)).astype(np.float64)

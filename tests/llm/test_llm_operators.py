@@ -349,6 +349,15 @@ def test_context_tree_is_a_distribution_and_learns(spark):
     assert abs(empty.log_probabilities(seen[:1])[0] - 8 * np.log10(0.5)) < 1e-9
 
 
+def test_lm_probabilities_stay_finite_at_large_counts():
+    """A byte never seen after 2**26 others keeps a probability above zero, and the last byte's eight decisions sum to one."""
+    import numpy as np
+    tree = lm.Tree(np.array([0x6161], np.uint64), np.array([1 << 26]), 1)
+    code = np.arange(256, dtype=np.uint64) + np.uint64(0x6100)
+    p = tree.log_probabilities(code)
+    assert np.isfinite(p).all() and abs((10 ** p).sum() - 1) < 1e-9
+
+
 def test_lm_scores_equal_one_tree_over_all_runs(spark, rows):
     """Subtrees by task, frequent runs in the table and the others joined: the scores of a single tree that holds every training run."""
     import zlib
