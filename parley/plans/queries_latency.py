@@ -117,9 +117,9 @@ O.add_view("st6_tok", ["lens"], f"""
 def st6_latency_quality(spark, d):
     x = delays(spark, d)
     al = x.groupBy("k").agg(F.avg(L.average_lagging("g", "src_len", "tgt_len")).alias("mean_al"))
-    hyp = F.array_join(F.filter(chars("zh"), lambda c, i: (i + 1) % (F.col("k") + 1) != 0), "")
-    r = x.select("ex_id", "k", M.tok_zh(hyp).alias("ht"), M.tok_zh(F.col("zh")).alias("rt"))
-    return al.join(M.corpus_bleu(r, "ex_id", "ht", "rt", ["k"]), "k")
+    hyp = F.regexp_replace(F.col("zh"), F.format_string("(?s)(.{%d}).", F.col("k")), F.lit("$1"))  # drops every (k + 1)-th character
+    r = x.select("ex_id", "k", M.spaced_zh(hyp).alias("ht"), M.spaced_zh(F.col("zh")).alias("rt"))
+    return al.join(M.corpus_bleu(r, "ex_id", "ht", "rt", ["k"], sep=" "), "k")
 
 
 # ------------------------------------------------------------------ W8 / W7 / AG20 / AG21

@@ -195,3 +195,31 @@ def test_batch_counts_against_counters():
             a, b = (Counter(tuple(x[i:i + n]) for i in range(len(x) - n + 1)) for x in (h, r))
             want += [sum((a & b).values()), sum(a.values()), sum(b.values())]
         assert list(row) == want
+
+
+def test_tokens_joined_by_spaces_give_the_rules_in_their_first_order(spark):
+    import itertools
+    import re
+
+    def rules(t):
+        for pat, rep in [(r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", r" \1 "), (r"([^0-9])([\.,])", r"\1 \2 "),
+                         (r"([\.,])([^0-9])", r" \1 \2"), (r"([0-9])(-)", r"\1 \2 ")]:
+            t = re.sub(pat, rep, t)
+        return t.split()
+
+    texts = ["".join(x) for x in itertools.product("a3.-& 中\u3000", repeat=4)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", M.tok_zh("t").alias("zh"), M.tok_13a("t").alias("en")).collect():
+        assert r.zh == rules(re.sub(M.ZH_CLASS, r" \g<0> ", r.t.strip(" "))), r.t
+        assert r.en == rules(" " + r.t + " "), r.t
+
+
+def test_scores_of_groups_equal_the_exploded_form(spark):
+    rows = [(i, "zh2en" if i % 2 else "en2zh", f"the cat {i} sat, on it", f"the cat {i} sat on  it.") for i in range(9)]
+    recs = spark.createDataFrame(rows, "ex_id long, direction string, hyp string, ref string")
+    got = {r.direction: r for r in M.corpus_scores(recs, ["direction"]).collect()}
+    toks = recs.select("*", M.bleu_tokens("hyp", "direction").alias("h"), M.bleu_tokens("ref", "direction").alias("r"))
+    for r in M.corpus_bleu(toks, "ex_id", "h", "r", ["direction"], method="explode").collect():
+        assert abs(got[r.direction].bleu - r.bleu) < 1e-9
+    for r in M.corpus_chrf(recs, "ex_id", "hyp", "ref", ["direction"], method="explode").collect():
+        assert abs(got[r.direction].chrf - r.chrf) < 1e-9
