@@ -20,9 +20,12 @@ def map_stream(stream: DataFrame, form: Callable[[DataFrame], DataFrame], out: s
     return w.start(out)
 
 
-def through_stream(rows: DataFrame, form: Callable[[DataFrame], DataFrame], name: str, files_per_batch: int = 4) -> tuple[DataFrame, int]:
-    """(result, number of micro-batches) of ``form`` over ``rows``, written as files and read as a stream."""
+def through_stream(rows: DataFrame, form: Callable[[DataFrame], DataFrame], name: str, files_per_batch: int | None = None) -> tuple[DataFrame, int]:
+    """(result, number of micro-batches) of ``form`` over ``rows``, written as files and read as a stream.
+
+    A micro-batch takes ``files_per_batch`` files; without it two for each core, so that its tasks fill the cluster."""
     spark = rows.sparkSession
+    files_per_batch = files_per_batch or 2 * spark.sparkContext.defaultParallelism
     src = scratch_path(spark, f"{name}-src")
     rows.write.parquet(src)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files_per_batch).parquet(src)

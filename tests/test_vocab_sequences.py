@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -226,3 +227,44 @@ def test_file_tokenizer_of_a_size_out_of_bounds(spark, tmp_out):
             f.write(content)
         with pytest.raises(ValueError, match="bytes"):
             file_tokenizer(f"{tmp_out}/t.json", max_bytes=100)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_codepoints_of_a_slice_with_nulls_and_broken_bytes():
+    import pyarrow as pa
+    from parley.functions.tokenize import codepoints
+    texts = pa.array(["skipped", None, "", "aé中😀", "z"]).slice(1)
+    ids, sizes = codepoints(texts)
+    assert ids.tolist() == [97, 233, 20013, 128512, 122] and sizes.tolist() == [0, 0, 4, 1]
+    broken = pa.Array.from_buffers(pa.string(), 2, [None, pa.py_buffer(np.array([0, 2, 4], np.int32)), pa.py_buffer(b"a\xffbc")])
+    ids, sizes = codepoints(broken)
+    assert ids.tolist() == [97, 0xFFFD, 98, 99] and sizes.tolist() == [2, 2]
+    assert [x.tolist() for x in codepoints(pa.array([], pa.string()))] == [[], []]
+
+
+def test_statistics_make_no_row_for_each_token(spark):
+    """Frequencies, pieces and OOV audits are counted by batch or row: no token is exploded or joined."""
+    df = spark.createDataFrame([(1, "zh2en", "ab中"), (2, "zh2en", None), (3, "en2zh", "中a"), (4, "en2zh", ""), (5, "none", "")],
+                               "ex_id long, direction string, tgt string")
+    vm = spark.createDataFrame([(97, 0), (98, 1), (98, 1)], "old_id int, new_id int")
+    texts = df.select(F.col("tgt").alias("text"))
+    freq, report = V.token_freq(texts, CODEPOINT), S.oov_report(df, vm, CODEPOINT)
+    hits = S.oov_hits(spark.createDataFrame([([-100, 97, 5, None],), (None,), ([],)], "labels array<int>"), vm)
+    assert {tuple(r) for r in freq.collect()} == {(97, 2), (98, 1), (20013, 2)}
+    assert {tuple(r) for r in piece_table(texts).collect()} == {(97, "a"), (98, "b"), (20013, "中")}
+    assert {tuple(r)[:5] for r in report.collect()} == {("zh2en", 1, 3, 1, 0), ("en2zh", 1, 2, 1, 1)}
+    assert tuple(hits.first()) == (2, 1) and tuple(S.oov_hits(df.limit(0).select(F.array(F.lit(1)).alias("labels")), vm).first()) == (0, 0)
+    for d in (freq, piece_table(texts), report, hits):
+        assert "Generate" not in plan_of(d) and "Join" not in plan_of(d)
+
+
+def test_the_length_filter_cleans_each_side_once(spark):
+    from parley.operators import corpus as C
+    df = spark.createDataFrame([("  a  b ", "中 "), ("", "x"), (None, "x"), ("a" * 9, "x"), ("a" * 8, "xx")], "src string, tgt string")
+    kept = C.filter_pairs(df)
+    assert {tuple(r) for r in kept.collect()} == {("a b", "中"), ("a" * 8, "xx")}
+    below = plan_of(kept).split("Filter", 1)[1]
+    assert below.count("regexp_replace") <= 2
