@@ -117,9 +117,10 @@ def _session_stream(spark, d, form):
     rows = partials(spark, d)
     days = rows.agg((F.datediff(F.max("ts"), F.min("ts")) + 1).alias("n")).first()["n"] or 1
     end = rows.agg((F.max("ts") + F.make_dt_interval(F.lit(days + 1))).alias("ts")).select(F.lit(CLOSING).alias("session"), "ts", F.lit("").alias("text"))
-    rows.repartition(MICRO_BATCHES * 2, F.xxhash64("session", "ts", "text")).write.json(f"{src}/0")
+    files = max(2, spark.sparkContext.defaultParallelism)   # of a micro-batch: its tasks fill the cores
+    rows.repartition(MICRO_BATCHES * files, F.xxhash64("session", "ts", "text")).write.json(f"{src}/0")
     end.write.json(f"{src}/1")
-    stream = spark.readStream.schema("session string, ts timestamp, text string").option("maxFilesPerTrigger", 2).json(f"{src}/*")
+    stream = spark.readStream.schema("session string, ts timestamp, text string").option("maxFilesPerTrigger", files).json(f"{src}/*")
     with SS.rocksdb_state(spark):
         q = (form(stream, STABLE_N, TRIGGER_K, watermark=f"{days} days").writeStream.outputMode("append")
              .option("checkpointLocation", ck).trigger(availableNow=True).format("parquet").start(out))

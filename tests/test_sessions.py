@@ -92,3 +92,75 @@ def test_many_revisions_of_one_session(spark, tmp_out):
     write(src, 3, [("end", 9_000_000, "")])
     got = run(spark, src, SS.stable_sessions, tmp_out).filter("session = 'long'").orderBy("ts").collect()
     assert [r.stable_len for r in got] == [min(i % 7, (i - 1) % 7) if i else 0 for i in range(n)]
+
+
+class Store(dict):
+    """Stands for the handle and both states of one session, and counts the calls."""
+
+    def __init__(self):
+        self.calls, self.timers, self.value = 0, [], None
+
+    def getMapState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        return self.Value(self)
+
+    class Value:
+        def __init__(self, store):
+            self.store = store
+
+        def get(self):
+            self.store.calls += 1
+            return self.store.value
+
+        def exists(self):
+            return self.get() is not None
+
+        def update(self, value):
+            self.store.calls += 1
+            self.store.value = value
+
+        def clear(self):
+            self.update(None)
+
+    def registerTimer(self, ms):
+        self.calls += 1
+        self.timers.append(ms)
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.get(key)
+
+    def containsKey(self, key):
+        return self.getValue(key) is not None
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self[key]
+
+
+class At:
+    def __init__(self, ms):
+        self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+
+@pytest.mark.parametrize("per_session", [False, True])
+def test_a_session_needs_one_timer_and_gives_its_rows_together(per_session):
+    import pandas as pd
+    n, store = 40, Store()
+    p = SS.Revisions(N, K, 60_000, per_session)
+    p.init(store)
+    for part in (range(0, n, 2), range(1, n, 2)):
+        list(p.handleInputRows(("s",), iter([pd.DataFrame({"us": [1_000_000 * (i + 1) for i in part], "line": ["a b c"] * len(part)})]), At(0)))
+    assert store.timers == [1000]
+    out = [f for w in (20_500, 20_700, 1_000_000) for t in sorted(t for t in set(store.timers) if t <= w) for f in p.handleExpiredTimer(("s",), At(w), At(t))]
+    assert [len(f) for f in out] == ([1] if per_session else [20, 20])
+    assert len(store) == 0 and store.value is None
+    assert store.calls <= 5 * n
+    if not per_session:
+        assert pd.concat(out)["us"].tolist() == [1_000_000 * (i + 1) for i in range(n)] and pd.concat(out)["fire"].tolist() == [True] + [False] * (n - 1)
