@@ -285,15 +285,17 @@ def register_source(spark: SparkSession) -> None:
 
 
 # ---------------------------------------------------------------- IO9 with commit
-def write_committed(df: DataFrame, path: str, order: Sequence, shard_size: int = 10_000) -> DataFrame:
+def write_committed(df: DataFrame, path: str, order: Sequence, shard_size: int = 10_000,
+                    form: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """IO9: ``df`` as fixed-size shards and their manifest, which appear together; returns the manifest.
+    ``form`` makes the records from the numbered rows, as in ``shards.write_shards``.
 
     Files of an earlier write stay on disk until they are cleaned up, but are no longer read."""
-    from parley.operators.shards import assign_shards
+    from parley.operators.shards import assign_shards, dealt
     spark = df.sparkSession
     register_source(spark)
-    s = assign_shards(df, order, shard_size)
-    s.repartition("shard_id").sortWithinPartitions("shard_id", "local_idx").write.format(FORMAT).mode("overwrite").save(path)
+    s = dealt(assign_shards(df, order, shard_size))
+    (form(s) if form else s).write.format(FORMAT).mode("overwrite").save(path)
     return spark.read.parquet(f"{path}/{MANIFEST}")
 
 
