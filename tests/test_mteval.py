@@ -81,3 +81,23 @@ def test_both_scores_come_from_one_function_without_regular_expressions(spark):
         want = [M.batch_counts(*[[x] for x in pair], orders)[0].tolist() for pair, orders in (
             ([by_rules(x or "", zh) for x in (hyp, ref)], range(1, 5)), (no_space, range(1, 7)))]
         assert list(r["_s"]) == want[0] + want[1]
+
+
+def test_utf8_bytes_are_counted_by_batch(spark):
+    """A row for each byte, made from hexadecimal text, was most of the byte statistics' time."""
+    from parley.functions.tokenize import UTF8, utf8_bytes
+    from parley.operators import vocab as V
+    df = spark.createDataFrame([("aé中😀",), (None,), ("",), ("aa",)], "text string")
+    freq = V.token_freq(df, UTF8)
+    want = Counter("aé中😀aa".encode())
+    assert {tuple(r) for r in freq.collect()} == set(want.items())
+    assert {tuple(r) for r in df.select(M.F.explode(UTF8.encode(M.F.col("text"))).alias("b")).groupBy("b").count().collect()} == set(want.items())
+    assert "Generate" not in freq._jdf.queryExecution().optimizedPlan().toString()
+    broken = pa.Array.from_buffers(pa.string(), 2, [None, pa.py_buffer(np.array([0, 2, 4], np.int32)), pa.py_buffer(b"a\xffbc")])
+    for texts, ids, sizes in ((pa.array(["skip", "é", None, "b"]).slice(1), [0xc3, 0xa9, 98], [2, 0, 1]), (broken, [97, 0xef, 0xbf, 0xbd, 98, 99], [4, 2]),
+                              (pa.array([], pa.string()), [], []), (pa.array(["é"]), [0xc3, 0xa9], [2])):
+        got = utf8_bytes(texts)
+        assert got[0].tolist() == ids and got[1].tolist() == sizes
+    for ids in ([], [3], [0, 0, 1], [7, 1 << 20, 7]):
+        got = V.counted_ids(np.array(ids, np.int32))
+        assert dict(zip(*(x.tolist() for x in got), strict=True)) == Counter(ids)
