@@ -32,9 +32,10 @@ def read_pairs(spark: SparkSession, path: str, mode: str = "FAILFAST",
     return r.schema(schema).json(path)
 
 
-def write_pairs(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """IO2: pair JSONL, UTF-8 text written as is (no escaping of non-ASCII)."""
-    df.select("src", "tgt", "direction").write.mode(mode).option("lineSep", "\n").json(path)
+def write_pairs(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip") -> None:
+    """IO2: pair JSONL, UTF-8 text written as is (no escaping of non-ASCII). Files are compressed (``none``: plain), each as a whole, so one
+    task reads a file, as one wrote it."""
+    df.select("src", "tgt", "direction").write.mode(mode).option("lineSep", "\n").option("compression", compression).json(path)
 
 
 # ---------------------------------------------------------------- IO3 / IO4
